@@ -1 +1,92 @@
-"""(filled in below)"""
+"""Remaining-life model queries: L1-L10, S9."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config as C
+from .. import oracle as O
+from ..operators import modeling as ML
+from ..operators import readings as R
+from ..registry import register
+from ..session import scratch_path
+from ..sources import tables as T
+from ..sources.sinks import inference_log, read_table
+
+
+def _bits(key_sql: str) -> str:
+    return f"CAST(('0x' || substr(md5({key_sql}), 1, 8)) AS BIGINT)"
+
+
+def _training_sql(by_date: bool) -> str:
+    date_key = ', CAST("timestamp" AS DATE) AS date' if by_date else ""
+    group = "equipment_id, date" if by_date else "equipment_id"
+    key = "f.equipment_id || '|' || CAST(f.date AS VARCHAR)" if by_date else "f.equipment_id"
+    arms = " ".join(f"WHEN {O.q(g)} THEN {c}" for g, c in C.CRITICALITY_CODES.items())
+    noise = f"(CAST({_bits(key + chr(32) + '|| ' + O.q('#noise'))} AS DOUBLE) / 4294967296.0 * {2 * C.RUL_LABEL_NOISE} - {C.RUL_LABEL_NOISE})"
+    return O.with_views(f"""
+WITH agg AS (
+  SELECT equipment_id{date_key}, AVG(vibration_rms) AS avg_vibration, MAX(vibration_rms) AS max_vibration,
+         {O.r6('STDDEV_SAMP(vibration_rms)')} AS std_vibration, AVG(temperature_c) AS avg_temperature,
+         MAX(temperature_c) AS max_temperature, AVG(pressure_bar) AS avg_pressure, AVG(current_amp) AS avg_current,
+         COUNT(*) AS reading_count
+  FROM sensor_readings GROUP BY {group}),
+f AS (SELECT e.operating_hours, e.criticality, a.* FROM equipment_master e JOIN agg a ON e.equipment_id = a.equipment_id)
+SELECT f.*, CAST(COALESCE(CASE f.criticality {arms} END, 0) AS DOUBLE) AS criticality_encoded,
+       GREATEST(0.0, {C.RUL_MAX_OPERATING_HOURS} - CAST(f.operating_hours AS DOUBLE) - f.avg_vibration * {C.RUL_VIBRATION_WEIGHT}
+                - GREATEST(f.avg_temperature - {C.RUL_TEMPERATURE_BASE}, 0) * {C.RUL_TEMPERATURE_WEIGHT} + {noise}) AS rul_hours,
+       {_bits(key)} % 100 < {int(round(C.MODEL_TEST_FRACTION * 100))} AS is_test
+FROM f""")
+
+
+def _training(spark, sf_dir, by_date=True):
+    return ML.training_set(T.sensor_readings(spark, sf_dir), T.equipment_master(spark, sf_dir), by_date)
+
+
+@register("rul_training_set", covers="L1 L2 L3 L4", oracle=_training_sql(False))
+def q_rul_training_set(spark, sf_dir):
+    return _training(spark, sf_dir, False).withColumn("std_vibration", F.round("std_vibration", 6))
+
+
+@register("rul_training_windows", covers="L10 L2 L3 L4", oracle=_training_sql(True))
+def q_rul_training_windows(spark, sf_dir):
+    return _training(spark, sf_dir, True).withColumn("std_vibration", F.round("std_vibration", 6))
+
+
+def _fit(spark, sf_dir):
+    return ML.fit_and_test(_training(spark, sf_dir, True))
+
+
+@register("rul_holdout_metrics", covers="L5 L6")
+def q_rul_holdout_metrics(spark, sf_dir):
+    """Train on the per-day training windows, evaluate on the held-out windows.
+
+    ``mean_predictor_mae`` is the baseline the model must beat: always
+    predicting the training-label mean (one scalar, fetched once).
+    """
+    data = _training(spark, sf_dir, True)
+    fit = ML.fit_and_test(data)
+    train_mean = data.where(~F.col("is_test")).agg(F.avg(ML.LABEL)).first()[0]
+    return ML.evaluate(fit.test_predictions, baseline=float(train_mean))
+
+
+@register("rul_feature_importance", covers="L7")
+def q_rul_feature_importance(spark, sf_dir):
+    return ML.feature_importance(spark, _fit(spark, sf_dir).model)
+
+
+@register("rul_residuals", covers="L8")
+def q_rul_residuals(spark, sf_dir):
+    return ML.residuals(_fit(spark, sf_dir).test_predictions)
+
+
+@register("rul_inference_log", covers="L9 S9")
+def q_rul_inference_log(spark, sf_dir):
+    """Score every equipment's latest features with the trained model and
+    append request/response rows to the (date-partitioned) inference log."""
+    fit = _fit(spark, sf_dir)
+    current = ML.training_set(T.sensor_readings(spark, sf_dir), T.equipment_master(spark, sf_dir), by_date=False)
+    scored = ML.score(fit.model, current)
+    target = scratch_path(spark, "rul_inference_log")
+    inference_log(scored, ML.FEATURES, "rul-gbt-v1", R.as_of_timestamp(), target)
+    return read_table(spark, target)
