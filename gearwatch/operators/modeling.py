@@ -154,5 +154,6 @@ class Fit:
 
 def fit_and_test(data: DataFrame, max_iter: int = C.MODEL_TREES) -> Fit:
     """Train on the is_test = false rows, predict the held-out rows."""
-    model = train_rul(data.where(~F.col("is_test")), max_iter)
+    train = data.where(~F.col("is_test")).checkpoint()  # reliable: written to the shared folder
+    model = train_rul(train, max_iter)
     return Fit(model, score(model, data.where(F.col("is_test"))))

@@ -44,6 +44,13 @@ def append_batch(df: DataFrame, target: str, partition_by: str = "date", fmt: st
     return target
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists on the (possibly remote) Hadoop filesystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(target) if "/" in target else spark.table(target)
 
