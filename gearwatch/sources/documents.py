@@ -44,9 +44,16 @@ def export_documents(docs: DataFrame, path: str) -> str:
 
 
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of text files as (doc_id, title, content); whole files, one row each."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("f"), "value")
+    """A folder of ``*.txt`` files as (doc_id, title, content).
+
+    ``binaryFile`` yields one row per file with its whole contents and the
+    UTF-8 decode runs in the JVM.  Spark's file sources skip zero-byte files
+    when planning splits, so a document with empty content does not come
+    back from the folder (it carries no knowledge either).
+    """
+    raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+           .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("f"), "content"))
     pattern = r"^([^_]*)_(.*)\.txt$"
     return raw.select(F.regexp_extract("f", pattern, 1).alias("doc_id"),
                       F.regexp_extract("f", pattern, 2).alias("title"),
-                      F.col("value").alias("content"))
+                      F.decode("content", "UTF-8").alias("content"))
