@@ -137,11 +137,16 @@ def knowledge_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("text").alias("content"))
 
 
-def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search/routing questions: benchmark items and user turns of conversations."""
-    bench = scan_table(spark, sf_dir, "benchmark").select(
+def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search questions from the benchmark items."""
+    return scan_table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("b-"), F.col("item_id").cast("string")).alias("query_id"),
         F.col("text").alias("query_text"))
+
+
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search/routing questions: benchmark items and user turns of conversations."""
+    bench = benchmark_queries(spark, sf_dir)
     conv = (scan_table(spark, sf_dir, "conversations").where(F.col("role") == "user")
             .select(F.concat(F.lit("c-"), F.col("conv_id").cast("string"), F.lit("-"),
                              F.col("turn").cast("string")).alias("query_id"),
