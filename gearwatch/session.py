@@ -74,3 +74,14 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared folder and read it back.
+
+    The lineage cut used between expensive stages: columnar, compressed and
+    restartable (a lost executor re-reads files instead of recomputing).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
