@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from ..sources.catalog import publish_view
+
 
 @dataclass
 class MetricView:
@@ -58,6 +60,10 @@ class MetricView:
             out = out.limit(limit)
         return out
 
+    def publish(self, spark, name: str, dims=(), measures=None) -> str:
+        """Expose one grain of the view to SQL users as a temp view."""
+        return publish_view(spark, name, self.query(dims, measures))
+
     def describe(self) -> list[tuple[str, str, str, str]]:
         """(view, kind, name, comment) rows for the data dictionary."""
         rows = [(self.name, "view", self.name, self.comment)]

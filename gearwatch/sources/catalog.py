@@ -38,6 +38,12 @@ def comment_on_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
 
 
+def set_table_properties(spark: SparkSession, table: str, props: dict[str, str]) -> None:
+    """Table properties, e.g. the medallion layer tag ``quality=bronze``."""
+    kv = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({kv})")
+
+
 def data_dictionary(spark: SparkSession, tables: dict[str, DataFrame],
                     table_comments: dict[str, str] | None = None) -> DataFrame:
     """(table, column, type, comment) rows from the schemas' metadata.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gearwatch.operators.quality import DROP, FAIL, WARN, Rule, check_failures, expect, expect_or_drop
 from gearwatch.operators.readings import project_columns
 from gearwatch.session import scratch_path
-from gearwatch.sources.catalog import comment_on_table
+from gearwatch.sources.catalog import comment_on_table, set_table_properties
 
 
 def test_expect_keeps_rows_and_counts(spark):
@@ -44,4 +44,7 @@ def test_comment_on_table(spark):
     comment_on_table(spark, "gw_commented", "장비 마스터 데이터's comment")
     rows = spark.sql("DESCRIBE TABLE EXTENDED gw_commented").collect()
     assert any(r.col_name == "Comment" and "장비 마스터" in r.data_type for r in rows)
+    set_table_properties(spark, "gw_commented", {"quality": "bronze"})
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gw_commented").collect()}
+    assert props["quality"] == "bronze"
     spark.sql("DROP TABLE gw_commented")
