@@ -60,6 +60,25 @@ class MetricView:
             out = out.limit(limit)
         return out
 
+    def combine(self, other: "MetricView", name: str | None = None) -> "MetricView":
+        """One view with the measures of both, when they share source and dimensions.
+
+        Lets a query that needs measures of two views over the same table
+        (e.g. OEE and anomaly rate per equipment) scan it once, in one
+        aggregate, instead of aggregating twice and joining the results.
+        """
+        if not self.source.sameSemantics(other.source):
+            raise ValueError(f"{self.name} and {other.name} have different sources")
+        for d in set(self.dimensions) & set(other.dimensions):
+            if self.dimensions[d] != other.dimensions[d]:
+                raise ValueError(f"dimension {d} differs between {self.name} and {other.name}")
+        for m in set(self.measures) & set(other.measures):
+            if self.measures[m] != other.measures[m]:
+                raise ValueError(f"measure {m} differs between {self.name} and {other.name}")
+        return MetricView(name or f"{self.name}+{other.name}", self.source,
+                          {**self.dimensions, **other.dimensions}, {**self.measures, **other.measures},
+                          comments={**self.comments, **other.comments})
+
     def publish(self, spark, name: str, dims=(), measures=None) -> str:
         """Expose one grain of the view to SQL users as a temp view."""
         return publish_view(spark, name, self.query(dims, measures))

@@ -110,11 +110,12 @@ health AS (SELECT equipment_id, {d_select(D_HEALTH, ['anomaly_rate_pct'])} {READ
 
 
 def _oee_and_rate(spark, sf_dir):
-    """J-3: each metric view aggregated first, then joined on the shared dimension."""
+    """J-3: OEE and anomaly rate per equipment.  Both views read the same
+    table at the same grain, so their measures are computed in one scan and
+    one aggregate (``MetricView.combine``) rather than two joined results."""
     readings = _readings(spark, sf_dir)
-    oee = oee_view(readings).query(["equipment_id"], ["oee_pct"])
-    rate = health_view(readings).query(["equipment_id"], ["anomaly_rate_pct"])
-    return oee.join(rate, "equipment_id")
+    both = oee_view(readings).combine(health_view(readings))
+    return both.query(["equipment_id"], ["oee_pct", "anomaly_rate_pct"])
 
 
 @register("question_core_oee_anomaly", covers="Q10 J-3",

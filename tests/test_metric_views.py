@@ -42,3 +42,24 @@ def test_unknown_measure(readings):
 def test_ratio_types_are_double(readings):
     schema = dict(oee_view(readings).query(["equipment_id"]).dtypes)
     assert schema["oee_pct"] == "double" and schema["availability_pct"] == "double"
+
+
+def test_combined_views_one_scan(readings):
+    both = oee_view(readings).combine(health_view(readings))
+    got = {r.equipment_id: (r.oee_pct, r.anomaly_rate_pct)
+           for r in both.query(["equipment_id"], ["oee_pct", "anomaly_rate_pct"]).collect()}
+    a = {r.equipment_id: r.oee_pct for r in oee_view(readings).query(["equipment_id"], ["oee_pct"]).collect()}
+    b = {r.equipment_id: r.anomaly_rate_pct
+         for r in health_view(readings).query(["equipment_id"], ["anomaly_rate_pct"]).collect()}
+    assert got == {k: (a[k], b[k]) for k in a}
+    plan = both.query(["equipment_id"], ["oee_pct", "anomaly_rate_pct"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 3  # lineitem, supplier, nation once each
+
+
+def test_combine_rejects_conflicts(readings, spark):
+    from gearwatch.operators.metric_view import MetricView
+    other = MetricView("x", readings, {"equipment_id": "equipment_id"}, {"avg_vibration": "AVG(vibration_rms)"})
+    with pytest.raises(ValueError):
+        health_view(readings).combine(other)
+    with pytest.raises(ValueError):
+        health_view(readings).combine(MetricView("y", spark.range(1), {}, {}))
