@@ -31,8 +31,8 @@ def key_fraction(key: Column, salt: str = "") -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def key_bucket(key: Column, buckets: int = 100) -> Column:
-    h = F.md5(key.cast("string"))
+def key_bucket(key: Column, buckets: int = 100, salt: str = "") -> Column:
+    h = F.md5(F.concat(key.cast("string"), F.lit(salt)))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % buckets
 
 
@@ -77,10 +77,13 @@ def rul_label(features: DataFrame, noise: float = C.RUL_LABEL_NOISE, key: Column
     return features.withColumn(LABEL, F.greatest(F.lit(0.0), raw))
 
 
-def split_flag(df: DataFrame, test_fraction: float = C.MODEL_TEST_FRACTION, key: Column | None = None) -> DataFrame:
-    """L4: deterministic holdout: md5 bucket of the key < test share -> test."""
+def split_flag(df: DataFrame, test_fraction: float = C.MODEL_TEST_FRACTION, key: Column | None = None,
+               seed: int | None = None) -> DataFrame:
+    """L4: deterministic holdout: md5 bucket of the key (salted by ``seed`` when
+    given) below the test share -> test.  Stable under any partitioning."""
     key = key if key is not None else F.col("equipment_id")
-    return df.withColumn("is_test", key_bucket(key) < int(round(test_fraction * 100)))
+    salt = "" if seed is None else f"#split{seed}"
+    return df.withColumn("is_test", key_bucket(key, 100, salt) < int(round(test_fraction * 100)))
 
 
 def training_set(readings: DataFrame, equip: DataFrame, by_date: bool = True,

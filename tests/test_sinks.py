@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from gearwatch.session import scratch_path
 from gearwatch.sources.catalog import data_dictionary, equipment_listing, publish_view, with_comments
