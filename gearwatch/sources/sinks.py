@@ -30,17 +30,12 @@ def append_batch(df: DataFrame, target: str, partition_by: str = "date", fmt: st
     overwrite: a rerun replaces only the partitions it touches, other days
     stay as they are.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.write.mode("overwrite").format(fmt).partitionBy(partition_by)
-        if "/" in target:
-            w.save(target)
-        else:
-            w.saveAsTable(target)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    w = (df.write.mode("overwrite").format(fmt).partitionBy(partition_by)
+         .option("partitionOverwriteMode", "dynamic"))  # per-write, not session-wide
+    if "/" in target:
+        w.save(target)
+    else:
+        w.saveAsTable(target)
     return target
 
 

@@ -42,3 +42,17 @@ def test_publish_view_replaces(spark):
     publish_view(spark, "gw_tmp_view", spark.range(3))
     publish_view(spark, "gw_tmp_view", spark.range(5))
     assert spark.table("gw_tmp_view").count() == 5
+
+
+def test_daily_run_rerun_does_not_duplicate(spark, readings, equip):
+    import datetime as dt
+
+    from gearwatch.operators.alerts import daily_run
+    base = scratch_path(spark, "t_daily")
+    day = dt.date(2024, 2, 2)
+    paths = daily_run(spark, readings, readings, equip, day, base)
+    first = sorted(tuple(r) for r in read_table(spark, paths["alerts"]).collect())
+    stored = read_table(spark, paths["readings"]).count()
+    daily_run(spark, None, readings, equip, day, base)  # rerun of the same day
+    assert sorted(tuple(r) for r in read_table(spark, paths["alerts"]).collect()) == first
+    assert read_table(spark, paths["readings"]).count() == stored == readings.count()
