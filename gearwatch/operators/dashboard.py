@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.health import status_of
+from ..session import materialize
+from ..sources.sinks import write_snapshot
 from . import aggregates as A
 
 NAME_ROLLUPS = {
@@ -123,3 +125,16 @@ def status_counts_from_partials(per_eq: DataFrame, equip: DataFrame) -> DataFram
     st = j.select(status_of(F.try_divide("sum_vibration_rms", "cnt_vibration_rms"),
                             F.try_divide("sum_temperature_c", "cnt_temperature_c")).alias("status"))
     return st.groupBy("status").agg(F.count(F.lit(1)).alias("cnt")).orderBy(A.status_rank("status"))
+
+
+def refresh_dashboard(readings: DataFrame, equip: DataFrame, base: str) -> dict[str, str]:
+    """Refresh all twelve datasets with one scan of the readings.
+
+    The rollup is written once (lineage cut); each dataset is then a small
+    aggregate over it and is written as its own table under ``base``.
+    """
+    rollup = materialize(reading_rollup(readings), "dashboard_rollup")
+    paths = {}
+    for name, df in datasets_from_rollup(rollup, equip).items():
+        paths[name] = write_snapshot(df, f"{base}/{name}")
+    return paths

@@ -25,3 +25,13 @@ def test_attribute_rollups_aggregate_before_join(spark):
     # the join sees per-equipment partials, not readings: an Aggregate sits below the Join
     join_at = plan.find("Join Inner")
     assert join_at >= 0 and "Aggregate" in plan[join_at:]
+
+
+def test_refresh_dashboard_writes_all(spark, readings, equip):
+    from gearwatch.session import scratch_path
+    from gearwatch.sources.sinks import read_table
+    paths = D.refresh_dashboard(readings, equip, scratch_path(spark, "t_dash"))
+    assert len(paths) == 12
+    direct = E.queries()["ds_status_counts"](spark, SMOKE)
+    assert sorted(map(tuple, read_table(spark, paths["ds_status_counts"]).collect())) == \
+        sorted(map(tuple, direct.collect()))
