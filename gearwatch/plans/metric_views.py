@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .. import oracle as O
+from ..operators.dashboard import reading_rollup
 from ..operators.metric_view import MetricView
 from ..registry import register
 from ..sources import tables as T
@@ -147,3 +148,72 @@ GROUP BY 1 ORDER BY anomaly_rate_pct DESC"""))
 def q_mv_health_check(spark, sf_dir):
     return health_view(T.sensor_readings(spark, sf_dir)).query(
         ["equipment_id"], M5_MEASURES, order_by=[F.desc("anomaly_rate_pct"), F.asc("equipment_id")])
+
+
+# ---- the same views over the shared rollup (aggregate-aware serving) ------------------
+# Each measure merges the rollup's partials; results equal the readings-based views
+# (same oracle SQL), while a query reads (equipment, day, hour) rows instead of readings.
+
+def _rpct(col: str) -> str:
+    return f"SUM({col}) * 100.0 / SUM(n)"
+
+
+def _ravg(signal: str) -> str:
+    return f"SUM(sum_{signal}) / SUM(cnt_{signal})"
+
+
+ROLLUP_AVAILABILITY = {
+    "total_readings": "SUM(n)",
+    "normal_readings": "SUM(normal_n)",
+    "abnormal_readings": "SUM(abnormal_n)",
+    "availability_pct": f"ROUND({_rpct('normal_n')}, 1)",
+}
+ROLLUP_HEALTH = {
+    "avg_vibration": f"ROUND({_ravg('vibration_rms')}, 2)",
+    "max_vibration": "ROUND(MAX(max_vibration_rms), 2)",
+    "avg_temperature": f"ROUND({_ravg('temperature_c')}, 1)",
+    "max_temperature": "ROUND(MAX(max_temperature_c), 1)",
+    "avg_pressure": f"ROUND({_ravg('pressure_bar')}, 1)",
+    "avg_current": f"ROUND({_ravg('current_amp')}, 2)",
+    "total_readings": "SUM(n)",
+    "critical_count": "SUM(critical_n)",
+    "warning_count": "SUM(abnormal_n)",
+    "anomaly_rate_pct": f"ROUND({_rpct('abnormal_n')}, 2)",
+}
+ROLLUP_OEE = {
+    "availability_pct": f"ROUND({_rpct('normal_n')}, 1)",
+    "performance_pct": f"ROUND({_rpct('optimal_n')}, 1)",
+    "quality_pct": f"ROUND({_rpct('valid_n')}, 1)",
+    "oee_pct": f"ROUND(({_rpct('normal_n')}) * ({_rpct('optimal_n')}) * ({_rpct('valid_n')}) / 10000, 1)",
+}
+ROLLUP_DIMS = {"equipment_id": "equipment_id", "measurement_date": "date", "hour": "hr"}
+
+
+def rollup_views(rollup: DataFrame) -> dict[str, MetricView]:
+    """The three metric views served from ``dashboard.reading_rollup``."""
+    return {"availability": MetricView("mv_equipment_availability", rollup, ROLLUP_DIMS, ROLLUP_AVAILABILITY),
+            "health": MetricView("mv_equipment_health", rollup, ROLLUP_DIMS, ROLLUP_HEALTH),
+            "oee": MetricView("mv_oee", rollup, ROLLUP_DIMS, ROLLUP_OEE)}
+
+
+def _rollup(spark, sf_dir):
+    return rollup_views(reading_rollup(T.sensor_readings(spark, sf_dir)))
+
+
+@register("mv_availability_from_rollup", covers="M1 over the shared rollup",
+          oracle=O.with_views(f"""SELECT equipment_id, CAST("timestamp" AS DATE) AS measurement_date,
+{d_select(D_AVAILABILITY)} FROM sensor_readings GROUP BY 1, 2"""))
+def q_mv_availability_from_rollup(spark, sf_dir):
+    return _rollup(spark, sf_dir)["availability"].query(["equipment_id", "measurement_date"])
+
+
+@register("mv_health_from_rollup", covers="M2 over the shared rollup",
+          oracle=O.with_views(f"SELECT equipment_id, {d_select(D_HEALTH)} FROM sensor_readings GROUP BY 1"))
+def q_mv_health_from_rollup(spark, sf_dir):
+    return _rollup(spark, sf_dir)["health"].query(["equipment_id"])
+
+
+@register("mv_oee_from_rollup", covers="M3 over the shared rollup",
+          oracle=O.with_views(f"SELECT equipment_id, {d_select(D_OEE)} FROM sensor_readings GROUP BY 1 ORDER BY oee_pct"))
+def q_mv_oee_from_rollup(spark, sf_dir):
+    return _rollup(spark, sf_dir)["oee"].query(["equipment_id"], order_by=["oee_pct", "equipment_id"])
