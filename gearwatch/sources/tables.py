@@ -103,7 +103,14 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings need leave the dimension side, so Catalyst prunes the rest and
     AQE picks broadcast or sort-merge from the measured size.
     """
-    master = _master_with_key(spark, sf_dir).select("_suppkey", "operating_hours")
+    # Only (key, hours) leave the dimension side.  The nation check is a semi
+    # join: its size estimate is the supplier table's, so the optimizer
+    # broadcasts this side (an inner join is estimated as the product of its
+    # inputs and would make the fact side look smaller).
+    supplier, nation = scan_table(spark, sf_dir, "supplier"), scan_table(spark, sf_dir, "nation")
+    master = (supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey, "left_semi")
+              .select(F.col("s_suppkey").alias("_suppkey"),
+                      F.floor((F.col("s_acctbal") + F.lit(1000.0)) * F.lit(1.5)).cast("int").alias("operating_hours")))
     li = scan_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_discount", "l_tax")
