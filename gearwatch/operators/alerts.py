@@ -39,24 +39,21 @@ def generate_alerts(health: DataFrame, equip: DataFrame, as_of=None) -> DataFram
     return out.select(*ALERT_COLUMNS)
 
 
-def daily_run(spark: SparkSession, readings_store: DataFrame | None, new_readings: DataFrame,
-              equip: DataFrame, day: _dt.date, base: str, as_of=None) -> dict[str, str]:
+def daily_run(spark: SparkSession, store: str, new_readings: DataFrame, equip: DataFrame,
+              day: _dt.date, base: str, as_of=None) -> dict[str, str]:
     """Ingest (S5) -> analyze (A4) -> alert (B1), each step writing a table.
 
-    * ingest appends the day's readings to a date-partitioned store with
-      dynamic partition overwrite, so a rerun replaces that day instead of
-      duplicating it;
+    * ingest appends the day's readings to the date-partitioned ``store``
+      with dynamic partition overwrite, so a rerun replaces that day instead
+      of duplicating it;
     * analyze reads the store with a partition bound (prunes old days);
     * alerts are appended partitioned by run date (idempotent reruns).
     """
-    paths = {"readings": f"{base}/sensor_readings", "health": f"{base}/equipment_health_daily",
+    paths = {"readings": store, "health": f"{base}/equipment_health_daily",
              "alerts": f"{base}/maintenance_alerts"}
-    if readings_store is not None:
-        append_batch(R.reading_date(readings_store), paths["readings"], "date")
     batch = R.reading_date(R.ingest_daily_batch(new_readings, day))
-    append_batch(batch, paths["readings"], "date")
-    store = read_table(spark, paths["readings"])
-    recent = R.recent_readings_pruned(store, as_of)
+    append_batch(batch, store, "date")
+    recent = R.recent_readings_pruned(read_table(spark, store), as_of)
     health = A.daily_health(recent.drop("date"), as_of)
     write_snapshot(health, paths["health"])
     alerts = generate_alerts(read_table(spark, paths["health"]), equip, as_of)

@@ -8,10 +8,11 @@ from .. import config as C
 from .. import oracle as O
 from ..operators import aggregates as A
 from ..operators import alerts as AL
+from ..operators import readings as R
 from ..registry import register
 from ..session import scratch_path
 from ..sources import tables as T
-from ..sources.sinks import read_table
+from ..sources.sinks import append_batch, read_table
 
 HEALTH_CTE = f"""
 health AS (
@@ -59,6 +60,7 @@ def q_daily_job_run(spark, sf_dir):
     """Store history partitioned by date, re-ingest the run day (idempotent),
     analyze with partition pruning, append alerts; return the alerts table."""
     readings, equip = T.sensor_readings(spark, sf_dir), T.equipment_master(spark, sf_dir)
-    paths = AL.daily_run(spark, readings, readings, equip, C.DEFAULT_AS_OF.date(),
-                         scratch_path(spark, "daily"))
+    base = scratch_path(spark, "daily")
+    store = append_batch(R.reading_date(readings), f"{base}/sensor_readings", "date")  # existing history
+    paths = AL.daily_run(spark, store, readings, equip, C.DEFAULT_AS_OF.date(), base)
     return read_table(spark, paths["alerts"]).drop("date")

@@ -48,11 +48,13 @@ def test_daily_run_rerun_does_not_duplicate(spark, readings, equip):
     import datetime as dt
 
     from gearwatch.operators.alerts import daily_run
+    from gearwatch.operators.readings import reading_date
     base = scratch_path(spark, "t_daily")
+    store = append_batch(reading_date(readings), f"{base}/store")
     day = dt.date(2024, 2, 2)
-    paths = daily_run(spark, readings, readings, equip, day, base)
+    paths = daily_run(spark, store, readings, equip, day, base)
     first = sorted(tuple(r) for r in read_table(spark, paths["alerts"]).collect())
     stored = read_table(spark, paths["readings"]).count()
-    daily_run(spark, None, readings, equip, day, base)  # rerun of the same day
+    daily_run(spark, store, readings, equip, day, base)  # rerun of the same day
     assert sorted(tuple(r) for r in read_table(spark, paths["alerts"]).collect()) == first
     assert read_table(spark, paths["readings"]).count() == stored == readings.count()
