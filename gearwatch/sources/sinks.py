@@ -46,6 +46,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_partitioned_by(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether a folder holds ``column=value`` partition directories."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(st.isDirectory() and st.getPath().getName().startswith(f"{column}=")
+                                for st in fs.listStatus(p))
+
+
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(target) if "/" in target else spark.table(target)
 
