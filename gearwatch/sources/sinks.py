@@ -22,7 +22,7 @@ def write_snapshot(df: DataFrame, target: str, partition_by=None, fmt: str = "pa
     return target
 
 
-def append_batch(df: DataFrame, target: str, partition_by: str = "date", fmt: str = "parquet") -> str:
+def append_batch(df: DataFrame, target: str, partition_by="date", fmt: str = "parquet") -> str:
     """Append one run's rows, idempotently.
 
     The reference appends blindly, so a rerun duplicates rows.  Here the
@@ -30,7 +30,8 @@ def append_batch(df: DataFrame, target: str, partition_by: str = "date", fmt: st
     overwrite: a rerun replaces only the partitions it touches, other days
     stay as they are.
     """
-    w = (df.write.mode("overwrite").format(fmt).partitionBy(partition_by)
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    w = (df.write.mode("overwrite").format(fmt).partitionBy(*cols)
          .option("partitionOverwriteMode", "dynamic"))  # per-write, not session-wide
     if "/" in target:
         w.save(target)
