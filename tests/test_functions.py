@@ -39,6 +39,8 @@ def test_default_argument_and_nulls(sqlfn):
                     " maintenance_priority_score(NULL, 'x', 1) AS c,"
                     " maintenance_priority_score(3000, NULL, NULL) AS d").first()
     assert (row.a, row.b, row.c, row.d) == (4250.0, 0.0, 0.0, 63.0)
+    # NULL temperature: the inner GREATEST skips it, so no temperature penalty
+    assert sqlfn.sql("SELECT estimate_rul(5000, 6.0, NULL)").first()[0] == 4700.0
     n = F.lit(None).cast("double")
     assert one(sqlfn, estimate_rul(n, F.lit(6.0), F.lit(65.0))) == 0.0
     assert one(sqlfn, priority_score(n, F.lit("x"), F.lit(1))) == 0.0

@@ -27,9 +27,12 @@ def py_status(v, t):
 
 
 def py_rul(h, v, t):
-    if h is None or v is None or t is None:
-        return 0.0  # GREATEST skips the NULL expression
-    return max(0.0, 10000.0 - h - v * 50 - max(t - 50, 0) * 30)
+    # GREATEST skips NULL at both levels: a NULL temperature adds no penalty,
+    # a NULL hours or vibration makes the outer expression NULL -> 0.0
+    penalty = 0.0 if t is None else max(t - 50, 0)
+    if h is None or v is None:
+        return 0.0
+    return max(0.0, 10000.0 - h - v * 50 - penalty * 30)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
