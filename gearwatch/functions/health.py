@@ -38,7 +38,9 @@ def estimate_rul(operating_hours, avg_vibration, avg_temperature,
                  max_operating_hours=C.RUL_MAX_OPERATING_HOURS) -> Column:
     """max(0, design life - hours - vib*50 - max(temp-50, 0)*30), in DOUBLE.
 
-    GREATEST skips NULL, so a NULL input yields 0.0 (as in the reference).
+    GREATEST skips NULL at both levels: a NULL hours or vibration yields
+    0.0 (as in the reference), a NULL temperature adds no temperature
+    penalty.
     """
     h = _col(operating_hours).cast("double")
     v = _col(avg_vibration).cast("double")
