@@ -29,8 +29,7 @@ def q_stream_silver(spark, sf_dir):
 @register("stream_health_gold", covers="T2 D6", oracle=O.with_views("SELECT * FROM gold", GOLD_CTE))
 def q_stream_health_gold(spark, sf_dir):
     base = scratch_path(spark, "stream_gold")
-    silver = S.stream_silver(spark, _landing(spark, sf_dir, base), f"{base}/silver")
-    gold = S.stream_health_gold(spark, silver, f"{base}/gold")
+    gold = S.stream_health_gold(spark, _landing(spark, sf_dir, base), f"{base}/gold")
     return read_table(spark, gold).withColumn("vibration_std", F.round("vibration_std", 6))
 
 
