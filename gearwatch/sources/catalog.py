@@ -59,3 +59,11 @@ def data_dictionary(spark: SparkSession, tables: dict[str, DataFrame],
             rows.append((tname, f.name, f.dataType.simpleString(), (f.metadata or {}).get("comment")))
     schema = StructType([StructField(n, StringType()) for n in ("table", "column", "type", "comment")])
     return spark.createDataFrame(rows, schema)
+
+
+def metric_dictionary(spark: SparkSession, views) -> DataFrame:
+    """S10 for metric views: (view, kind, name, comment) for each view, its
+    dimensions and its measures (metadata only, no table data)."""
+    rows = [r for v in views for r in v.describe()]
+    schema = StructType([StructField(n, StringType()) for n in ("view", "kind", "name", "comment")])
+    return spark.createDataFrame(rows, schema)

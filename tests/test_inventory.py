@@ -11,7 +11,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 # ids without a query of their own -> the test that covers them
 TEST_ONLY = {
-    "S10": "test_sinks.py::test_listing_and_dictionary, test_operators_misc.py::test_comment_on_table",
+    "S10": "test_sinks.py::test_listing_and_dictionary, test_operators_misc.py::test_comment_on_table, test_metric_views.py::test_metric_dictionary",
     "S11": "test_sinks.py::test_publish_view_replaces, test_golden_rows.py::test_metric_view_publish",
     "P11": "test_operators_misc.py::test_project_columns",
     "U4": "test_functions.py::test_golden_calls_sql, test_golden_calls_columns",

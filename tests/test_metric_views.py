@@ -63,3 +63,13 @@ def test_combine_rejects_conflicts(readings, spark):
         health_view(readings).combine(other)
     with pytest.raises(ValueError):
         health_view(readings).combine(MetricView("y", spark.range(1), {}, {}))
+
+
+def test_metric_dictionary(spark, readings):
+    from gearwatch.sources.catalog import metric_dictionary
+    views = [availability_view(readings), health_view(readings), oee_view(readings)]
+    rows = metric_dictionary(spark, views).collect()
+    kinds = {(r.view, r.kind) for r in rows}
+    assert ("mv_oee", "measure") in kinds and ("mv_equipment_availability", "dimension") in kinds
+    assert sum(r.kind == "measure" for r in rows) == 18  # 4 + 10 + 4 measures
+    assert sum(r.kind == "dimension" for r in rows) == 4  # 2 + 1 + 1 dimensions
