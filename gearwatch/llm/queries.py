@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, mixing, packing, quality_rules, secret_scan, warc
+from . import hyperminhash, language_id, line_dedup, mixing, packing, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
 from .common import load
 
 QUERIES: dict = {}
@@ -65,3 +65,27 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [secret_scan.count_kind(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
     return found.select("doc_id", *base, F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
                         secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query
+def op5_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spot_signatures.fingerprints(load(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        spot_signatures.as_text(F.col("sigs")).alias("fingerprint"),
+        spot_signatures.as_text(F.col("edited_sigs")).alias("edited_fingerprint"),
+        spot_signatures.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        spot_signatures.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
