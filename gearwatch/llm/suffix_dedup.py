@@ -3,7 +3,7 @@
 Every byte covered by a 100-byte string that also starts earlier is removed
 (earlier: in a smaller document, or before in the same one).
 
-The corpus is dealt so that equal strings meet: of the 32-byte grams inside a
+The corpus is dealt so that equal strings meet: of the 24-byte grams inside a
 100-byte window the one with the smallest hash is the window's anchor, and a
 maximal run of windows with one anchor is a segment.  Equal windows have equal
 anchors, so only segments of one anchor need comparing.  Segments whose anchor
@@ -18,7 +18,7 @@ suffix array:
 3. adjacent suffixes with a common prefix of 100 bytes are equal windows; all
    but the earliest of such a run are removed.
 
-Scale: what is shuffled per text byte is about 1/35 narrow row, then the bytes of different
+Scale: what is shuffled per text byte is about 1/39 narrow row, then the bytes of different
 segments that share an anchor.  Suffix arrays are built over whole anchors of about ``BATCH_BYTES``
 at a time.  Copies are pre-aggregated with map-side partials, so a passage in a
 third of all documents is one segment.  An anchor with more than ``HOT``
@@ -44,11 +44,11 @@ from .common import text_batches, written
 from .shingles import BASE, BYTE, INVERSE, mix, powers
 
 LENGTH = 100             # bytes
-GRAM = 32
+GRAM = 24
 SPAN = LENGTH - GRAM + 1  # grams in a window
-BLOCK = 1 << 20          # bytes of a text that are hashed at a time
+BLOCK = 1 << 17          # bytes that are hashed at a time
 LONGEST = 4096           # windows in a segment
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 HOT = 20_000
 NO_ID = 2**63 - 1
 U = np.uint64
@@ -75,46 +75,58 @@ def repeats_inside(grams: np.ndarray, anchor: np.ndarray, cut: np.ndarray, n: np
     return pairs[np.maximum(hi - 1, lo)] > pairs[np.minimum(lo, len(pairs) - 1)]
 
 
-def segments(data: bytes) -> tuple[np.ndarray, ...]:
-    """(anchor, digest, start, windows, repeats inside) of a text's segments."""
-    out = []
-    for at in range(0, max(1, len(data) - LENGTH + 1), BLOCK):
-        b = np.frombuffer(data[at:at + BLOCK + LENGTH - 1], np.uint8)
-        if len(b) < LENGTH:
-            continue
-        total = np.zeros(len(b) + 1, U)
-        np.cumsum(BYTE[b] * powers(BASE, len(b)), out=total[1:])
-        down = powers(INVERSE, len(b) + 1)
-        grams = mix((total[GRAM:] - total[:-GRAM]) * down[:len(b) - GRAM + 1])
-        anchor = windows_min(grams, SPAN)
-        cut = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-        cut = np.unique(np.concatenate([[0], cut, np.arange(0, len(anchor), LONGEST)]))
-        n = np.diff(np.append(cut, len(anchor)))
-        digest = mix((total[cut + n + LENGTH - 1] - total[cut]) * down[cut] + n.astype(U))
-        out.append((anchor[cut], digest, cut + at, n, repeats_inside(grams, anchor, cut, n)))
-    if not out:
+def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(text, anchor, digest, start, windows, repeats inside) of the segments of some texts, hashed together."""
+    data = b"".join(texts)
+    b = np.frombuffer(data, np.uint8)
+    begin = np.cumsum(np.array([0] + [len(t) for t in texts], np.int64))
+    if len(b) < LENGTH:
         none = np.zeros(0, np.int64)
-        return none.astype(U), none.astype(U), none, none, none.astype(bool)
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+        return none, none.astype(U), none.astype(U), none, none, none.astype(bool)
+    total = np.zeros(len(b) + 1, U)
+    np.cumsum(BYTE[b] * powers(BASE, len(b)), out=total[1:])
+    down = powers(INVERSE, len(b) + 1)
+    grams = mix((total[GRAM:] - total[:-GRAM]) * down[:len(b) - GRAM + 1])
+    anchor = windows_min(grams, SPAN)
+    # windows that would reach into the next text stand apart, between the last window of one and the first of the next
+    over = np.maximum(begin[1:] - LENGTH + 1, begin[:-1])
+    at = np.concatenate([np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, begin[:-1], over, np.arange(0, len(anchor), LONGEST)])
+    cut = np.unique(at[at < len(anchor)])
+    n = np.diff(np.append(cut, len(anchor)))
+    text = np.searchsorted(begin, cut, side="right") - 1
+    own = cut < over[text]
+    again = repeats_inside(grams, anchor, cut, n)[own]
+    cut, n, text = cut[own], n[own], text[own]
+    digest = mix((total[cut + n + LENGTH - 1] - total[cut]) * down[cut] + n.astype(U))
+    return text, anchor[cut], digest, cut - begin[text], n, again
+
+
+def text_blocks(ids: list[int], texts: list[str]) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
+    """(texts, ids, first bytes) to hash together; a long text comes in blocks that overlap by all but one window."""
+    group, owners, offsets, size = [], [], [], 0
+    for one, text in zip(ids, texts, strict=True):
+        data = text.encode("utf-8", "replace")
+        for at in range(0, max(1, len(data) - LENGTH + 1), BLOCK):
+            block = data[at:at + BLOCK + LENGTH - 1]
+            if size + len(block) > BLOCK and group:
+                yield group, owners, offsets
+                group, owners, offsets, size = [], [], [], 0
+            group.append(block)
+            owners.append(one)
+            offsets.append(at)
+            size += len(block)
+    if group:
+        yield group, owners, offsets
 
 
 def dealt(docs: DataFrame) -> DataFrame:
     """(m, s, id, start, n, again): the segments of all documents (id, text)."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            parts, size = [], 0
-            for one, text in zip(b["id"], b["text"], strict=True):
-                m, s, start, n, again = segments(text.encode("utf-8", "replace"))
-                parts.append((m.view(np.int64), s.view(np.int64), np.full(len(m), one, np.int64), start, n, again))
-                size += len(m)
-                if size >= 100_000:
-                    yield table(parts)
-                    parts, size = [], 0
-            yield table(parts)
-
-    def table(parts: list) -> pd.DataFrame:
-        cols = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
-        return pd.DataFrame(dict(zip(("m", "s", "id", "start", "n", "again"), cols, strict=True)))
+            for texts, owners, offsets in text_blocks(list(b["id"]), list(b["text"])):
+                text, m, s, start, n, again = segments(texts)
+                yield pd.DataFrame({"m": m.view(np.int64), "s": s.view(np.int64), "id": np.array(owners, np.int64)[text],
+                                    "start": start + np.array(offsets, np.int64)[text], "n": n, "again": again})
 
     return docs.select("id", "text").mapInPandas(cut, "m long, s long, id long, start long, n long, again boolean")
 
@@ -269,8 +281,10 @@ def window_digests(parts: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """(id, start, n): n windows from byte ``start`` of document ``id`` also start earlier; docs is (id, text), each id once."""
     seen = dealt(docs)
-    anchors = seen.groupBy("m").agg(F.count(F.lit(1)).alias("times"))
-    shared = written(seen.join(anchors, "m").where((F.col("times") > 1) | F.col("again")).drop("times"), "suffix-shared")
+    anchors = (seen.groupBy("m").agg(F.count(F.lit(1)).alias("times"), F.max("again").alias("again"))
+               .where((F.col("times") > 1) | F.col("again")).select("m"))
+    # the kept anchors are few and have a row each, so they are hashed and the segments need no sort
+    shared = written(seen.join(anchors.hint("shuffle_hash"), "m", "left_semi"), "suffix-shared")
     # the earliest of equal segments: smallest id, then smallest start within it
     first_id = shared.groupBy("m", "s").agg(F.min("id").alias("first_id"))
     at = shared.join(first_id, ["m", "s"])
