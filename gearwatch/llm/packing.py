@@ -36,6 +36,7 @@ CLASS = 8
 CLASSES = SEQUENCE // CLASS
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
+GAP = 1e-3               # distance from the optimum at which pricing stops, as a share
 MAX_COLUMNS = 4000       # patterns priced at most; the program is feasible whenever it stops
 CACHED_WORDS = 400_000   # words whose ids a Python worker remembers
 BLOCK_ROWS = 20_000
@@ -125,7 +126,10 @@ def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple
     cost = np.ones(m)
     inverse = np.diag([1.0 / c[i] for i, c in enumerate(columns)])
     x = inverse @ demand
+    bound = float(sizes @ demand) / capacity  # no plan has fewer sequences
     for _ in range(MAX_COLUMNS):
+        if cost @ x <= bound * (1 + GAP):
+            break
         dual = cost @ inverse
         low = int(dual.argmin())
         if dual[low] < -1e-9:  # a slack of that size's demand enters
@@ -133,7 +137,7 @@ def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple
         else:
             value, new = knapsack(np.maximum(dual, 0), sizes, capacity)
             price = 1.0
-            if value <= 1 + 1e-7:
+            if value <= 1 + GAP:  # no pattern improves the program by more than that share
                 break
         direction = inverse @ new
         positive = direction > 1e-9
