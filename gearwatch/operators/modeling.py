@@ -92,7 +92,8 @@ def training_set(readings: DataFrame, equip: DataFrame, by_date: bool = True,
     keys = ("equipment_id", "date") if by_date else ("equipment_id",)
     key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     df = encode_criticality(rul_features(readings, equip, keys))
-    return split_flag(rul_label(df, noise, key), key=key)
+    # by machine: windows of one machine never lie on both sides of the split
+    return split_flag(rul_label(df, noise, key), key=F.col("equipment_id"))
 
 
 def regressor(max_iter: int = C.MODEL_TREES) -> GBTRegressor:

@@ -35,7 +35,7 @@ f AS (SELECT e.operating_hours, e.criticality, a.* FROM equipment_master e JOIN
 SELECT f.*, CAST(COALESCE(CASE f.criticality {arms} END, 0) AS DOUBLE) AS criticality_encoded,
        GREATEST(0.0, {C.RUL_MAX_OPERATING_HOURS} - CAST(f.operating_hours AS DOUBLE) - f.avg_vibration * {C.RUL_VIBRATION_WEIGHT}
                 - GREATEST(f.avg_temperature - {C.RUL_TEMPERATURE_BASE}, 0) * {C.RUL_TEMPERATURE_WEIGHT} + {noise}) AS rul_hours,
-       {_bits(key)} % 100 < {int(round(C.MODEL_TEST_FRACTION * 100))} AS is_test
+       {_bits("f.equipment_id")} % 100 < {int(round(C.MODEL_TEST_FRACTION * 100))} AS is_test
 FROM f""")
 
 

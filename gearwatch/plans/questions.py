@@ -144,7 +144,7 @@ def q11(spark, sf_dir):
     return out.orderBy(F.desc("anomaly_rate_per_1000h"), "equipment_id")
 
 
-_TREND_START = C.DEFAULT_AS_OF.date() - _dt.timedelta(days=TREND_DAYS)
+_TREND_START = C.DEFAULT_AS_OF.date() - _dt.timedelta(days=TREND_DAYS - 1)  # the last day is included
 
 
 @register("question_recent_vibration_trend", covers="Q12 W9",

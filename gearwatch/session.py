@@ -44,11 +44,17 @@ def configure(spark: SparkSession) -> None:
     checkpoint_root(spark)
 
 
+def local_master(master: str) -> bool:
+    """Whether driver and executors are one process (``local`` or ``local[n]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stream checkpoints and written tables.
 
-    Read from the session (``spark.checkpoint.dir``, as a cluster names it);
-    only when it is unset - local tests - fall back to a fresh local folder.
+    Read from the session (``spark.checkpoint.dir``, as a cluster names it).
+    Where it is unset, a local master gets a fresh local folder; on a cluster
+    that is an error, as executors would not see such a folder.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -56,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = sc.getCheckpointDir()
         if existing:
             return existing
+        if not local_master(sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and executors of {sc.master} share")
         root = tempfile.mkdtemp(prefix="gearwatch-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

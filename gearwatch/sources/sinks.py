@@ -22,21 +22,38 @@ def write_snapshot(df: DataFrame, target: str, partition_by=None, fmt: str = "pa
     return target
 
 
-def append_batch(df: DataFrame, target: str, partition_by="date", fmt: str = "parquet") -> str:
-    """Append one run's rows, idempotently.
-
-    The reference appends blindly, so a rerun duplicates rows.  Here the
-    batch is written partitioned by ``partition_by`` with dynamic partition
-    overwrite: a rerun replaces only the partitions it touches, other days
-    stay as they are.
+def append_batch(df: DataFrame, target: str, partition_by="date", fmt: str = "parquet",
+                 batch_id: str | None = None) -> str:
+    """Append one run's rows, idempotently, to a folder or a catalog table.
+
+    The batch replaces exactly the partitions it holds: a rerun writes its own
+    rows anew, everything else stays.  With ``batch_id`` the batch is a
+    partition of its own below ``partition_by``, so several batches of one day
+    (a late half-day file, a second model) coexist and each can be rerun.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    w = (df.write.mode("overwrite").format(fmt).partitionBy(*cols)
-         .option("partitionOverwriteMode", "dynamic"))  # per-write, not session-wide
+    if batch_id is not None:
+        df = df.withColumn("batch_id", F.lit(batch_id))
+        cols.append("batch_id")
     if "/" in target:
-        w.save(target)
-    else:
-        w.saveAsTable(target)
+        (df.write.mode("overwrite").format(fmt).partitionBy(*cols)
+         .option("partitionOverwriteMode", "dynamic").save(target))  # per-write, not session-wide
+        return target
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target):
+        df.write.format(fmt).partitionBy(*cols).saveAsTable(target)
+        return target
+    names = spark.table(target).columns
+    if sorted(names) != sorted(df.columns):
+        raise ValueError(f"{target} has the columns {names}, the batch has {df.columns}")
+    # saveAsTable would replace the whole table; insertInto goes by position and keeps other
+    # partitions, but takes the overwrite mode from the session
+    mode, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*names).write.mode("overwrite").insertInto(target)
+    finally:
+        spark.conf.set(mode, before)
     return target
 
 
@@ -62,7 +79,11 @@ def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFr
 
 def inference_log(scored: DataFrame, feature_cols, model_id: str, as_of_ts, target: str | None = None,
                   prediction_col: str = "prediction") -> DataFrame:
-    """One request/response row per scored record; appended when ``target`` is set."""
+    """One request/response row per scored record; appended when ``target`` is set.
+
+    Each (day, model) is a partition of its own: another model's rows of the
+    day stay, and scoring again with the same model replaces its rows.
+    """
     log = scored.select(
         F.col("equipment_id"),
         F.to_json(F.struct(*feature_cols)).alias("request"),
@@ -71,5 +92,5 @@ def inference_log(scored: DataFrame, feature_cols, model_id: str, as_of_ts, targ
         as_of_ts.alias("logged_at"),
         F.to_date(as_of_ts).alias("date"))
     if target:
-        append_batch(log, target, "date")
+        append_batch(log, target, ["date", "model_id"])
     return log

@@ -1,6 +1,7 @@
 """S3/S4 idempotency, S6/S7 round trip, S8/S10/S11."""
 
 import json
+import uuid
 
 
 from gearwatch.session import scratch_path
@@ -58,3 +59,32 @@ def test_daily_run_rerun_does_not_duplicate(spark, readings, equip):
     daily_run(spark, store, readings, equip, day, base)  # rerun of the same day
     assert sorted(tuple(r) for r in read_table(spark, paths["alerts"]).collect()) == first
     assert read_table(spark, paths["readings"]).count() == stored == readings.count()
+
+
+def test_append_to_a_table_keeps_other_days_and_batches(spark):
+    name = f"gw_append_{uuid.uuid4().hex[:8]}"
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, date string")
+    append_batch(rows(("a", "2024-01-01")), name, batch_id="morning")
+    append_batch(rows(("b", "2024-01-01")), name, batch_id="evening")
+    append_batch(rows(("c", "2024-01-02")), name, batch_id="morning")
+    append_batch(rows(("c", "2024-01-02")), name, batch_id="morning")  # rerun
+    assert sorted(r.k for r in spark.table(name).collect()) == ["a", "b", "c"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_inference_log_keeps_each_model_of_a_day(spark):
+    from pyspark.sql import functions as F
+
+    from gearwatch.sources.sinks import inference_log
+    path = scratch_path(spark, "t_log")
+    scored = spark.createDataFrame([("EQ-1", 1.0, 2.0)], "equipment_id string, x double, prediction double")
+    at = F.lit("2024-02-02 12:00:00").cast("timestamp")
+    for model in ("m1", "m2", "m1"):
+        inference_log(scored, ["x"], model, at, path)
+    assert sorted(r.model_id for r in read_table(spark, path).collect()) == ["m1", "m2"]
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from gearwatch.session import local_master
+    assert local_master("local[4]") and local_master("local")
+    assert not local_master("local-cluster[3,2,1024]") and not local_master("spark://host:7077") and not local_master("yarn")
