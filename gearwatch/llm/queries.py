@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from . import hyperminhash, language_id, line_dedup, mixing, packing, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
 from .common import load
+from .oracle_sql import ORACLES  # noqa: F401
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
