@@ -49,6 +49,7 @@ SPAN = LENGTH - GRAM + 1  # grams in a window
 BLOCK = 1 << 17          # bytes that are hashed at a time
 LONGEST = 4096           # windows in a segment
 BATCH_BYTES = 1 << 18
+TAKEN_BYTES = 1 << 21    # bytes of segments that leave a task together
 HOT = 20_000
 NO_ID = 2**63 - 1
 U = np.uint64
@@ -296,14 +297,31 @@ def repeats(docs: DataFrame) -> DataFrame:
     different = first.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"))
     open_ = (first.join(different, "m").where((F.col("kinds") > 1) | F.col("again"))
              .select("m", F.col("first_id").alias("id"), F.col("first_start").alias("start"), "n", "kinds"))
-    wanted = open_.groupBy("id").agg(F.collect_list(F.struct("m", "start", "n", "kinds")).alias("cuts"))  # of one text
+    cuts = open_.groupBy("id").agg(F.collect_list(F.struct("m", "start", "n", "kinds")).alias("cuts"))  # of one text
+    # a list per field: an array of numbers in Python, where a list of structs is a list of dictionaries
+    wanted = cuts.select("id", "cuts.m", "cuts.start", "cuts.n", "cuts.kinds")
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for one, text, cuts in zip(b["id"], b["text"], b["cuts"], strict=True):
-                data = text.encode("utf-8", "replace")
-                rows = [(c["m"], one, c["start"], data[c["start"]:c["start"] + c["n"] + LENGTH - 1], c["kinds"]) for c in cuts]
-                yield pd.DataFrame(rows, columns=["m", "id", "start", "bytes", "kinds"])
+            held, own, size = [], [], 0  # segments of texts that leave together: a frame for each text costs more than the cutting
+
+            def out() -> pd.DataFrame:
+                times = [len(rows["m"]) for rows in own]
+                columns = {c: np.concatenate([rows[c] for rows in own]) for c in ("m", "start", "kinds")}
+                return pd.DataFrame({"m": columns["m"], "id": np.repeat([rows["id"] for rows in own], times), "start": columns["start"],
+                                     "bytes": held, "kinds": columns["kinds"]})
+
+            for rows in b.to_dict("records"):
+                data = rows["text"].encode("utf-8", "replace")
+                for at, to in zip(rows["start"].tolist(), (rows["start"] + rows["n"] + LENGTH - 1).tolist(), strict=True):
+                    held.append(data[at:to])
+                    size += to - at
+                own.append(rows)
+                if size >= TAKEN_BYTES:
+                    yield out()
+                    held, own, size = [], [], 0
+            if own:
+                yield out()
 
     parts = docs.join(wanted, "id").mapInPandas(take, "m long, id long, start long, bytes binary, kinds long")
     parts = written(parts, "suffix-parts")
