@@ -103,6 +103,15 @@ ROUTING_RULES = {
 # Our own settings (not from the reference)
 # ---------------------------------------------------------------------------
 
+# The status rules as a table: (label, vibration limit, temperature limit), most severe first.
+STATUS_LIMITS = (
+    (STATUS_CRITICAL, VIBRATION_CRITICAL, TEMPERATURE_CRITICAL),
+    (STATUS_DANGER, VIBRATION_DANGER, TEMPERATURE_DANGER),
+    (STATUS_CAUTION, VIBRATION_CAUTION, TEMPERATURE_CAUTION),
+)
+# Remaining-life penalty of vibration and temperature: (value that costs nothing, hours per unit above it).
+RUL_PENALTIES = ((None, RUL_VIBRATION_WEIGHT), (RUL_TEMPERATURE_BASE, RUL_TEMPERATURE_WEIGHT))
+
 # The reference uses now(); every operator here takes an explicit as_of so
 # reruns are reproducible.  Fixture pin: recent readings start 2024-02-01.
 DEFAULT_AS_OF = _dt.datetime(2024, 2, 2, 12, 0, 0)

@@ -1,13 +1,17 @@
 """Equipment status, remaining useful life, maintenance priority.
 
-Each function exists twice with one definition: as a Column builder (for the
-DataFrame API) and as a SQL function registered in the session (for SQL
-text).  Both are plain expressions, so Catalyst inlines and constant-folds
-them inside whole-stage codegen - no Python UDF anywhere.
+The rules are tables in ``config`` (limits per level, penalty per signal,
+points per grade).  From one table come both forms of a function: the Column
+builder of the DataFrame API and the SQL function registered in the session.
+Both are plain expressions, so Catalyst inlines and constant-folds them
+inside whole-stage codegen - no Python UDF anywhere.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,39 +27,38 @@ def _col(x) -> Column:
 
 
 def status_of(vibration, temperature) -> Column:
-    """U1 assess_vibration_status: OR-combined 4-level status (strict >).
+    """U1 assess_vibration_status: the first level either signal is above.
 
     A NULL signal never raises the level; the other signal still decides.
     """
-    v, t = _col(vibration), _col(temperature)
-    return (F.when((v > C.VIBRATION_CRITICAL) | (t > C.TEMPERATURE_CRITICAL), C.STATUS_CRITICAL)
-            .when((v > C.VIBRATION_DANGER) | (t > C.TEMPERATURE_DANGER), C.STATUS_DANGER)
-            .when((v > C.VIBRATION_CAUTION) | (t > C.TEMPERATURE_CAUTION), C.STATUS_CAUTION)
-            .otherwise(C.STATUS_NORMAL))
+    signals = [_col(vibration), _col(temperature)]
+    level = F  # F.when starts the chain, Column.when goes on
+    for label, *limits in C.STATUS_LIMITS:
+        level = level.when(reduce(or_, [s > x for s, x in zip(signals, limits, strict=True)]), label)
+    return level.otherwise(C.STATUS_NORMAL)
 
 
 def estimate_rul(operating_hours, avg_vibration, avg_temperature,
                  max_operating_hours=C.RUL_MAX_OPERATING_HOURS) -> Column:
-    """max(0, design life - hours - vib*50 - max(temp-50, 0)*30), in DOUBLE.
+    """Design life less hours and the penalty of each signal, at least 0, in DOUBLE.
 
     GREATEST skips NULL at both levels: a NULL hours or vibration yields
     0.0 (as in the reference), a NULL temperature adds no temperature
     penalty.
     """
-    h = _col(operating_hours).cast("double")
-    v = _col(avg_vibration).cast("double")
-    t = _col(avg_temperature).cast("double")
-    m = _col(max_operating_hours).cast("double")
-    penalty_t = F.greatest(t - F.lit(C.RUL_TEMPERATURE_BASE), F.lit(0)) * F.lit(C.RUL_TEMPERATURE_WEIGHT)
-    return F.greatest(F.lit(0.0), m - h - v * F.lit(C.RUL_VIBRATION_WEIGHT) - penalty_t)
+    hours, life = (_col(x).cast("double") for x in (operating_hours, max_operating_hours))
+    left = life - hours
+    for signal, (free, weight) in zip((avg_vibration, avg_temperature), C.RUL_PENALTIES, strict=True):
+        s = _col(signal).cast("double")
+        left = left - (s if free is None else F.greatest(s - F.lit(free), F.lit(0))) * F.lit(weight)
+    return F.greatest(F.lit(0.0), left)
 
 
 def criticality_points(criticality) -> Column:
-    c = _col(criticality)
-    expr = None
-    for grade, pts in C.CRITICALITY_POINTS.items():
-        expr = (F.when(c == grade, F.lit(pts)) if expr is None else expr.when(c == grade, F.lit(pts)))
-    return expr.otherwise(F.lit(C.CRITICALITY_POINTS_OTHER))
+    points = F
+    for grade, value in C.CRITICALITY_POINTS.items():
+        points = points.when(_col(criticality) == grade, F.lit(value))
+    return points.otherwise(F.lit(C.CRITICALITY_POINTS_OTHER))
 
 
 def priority_score(rul_hours, criticality, last_maintenance_days) -> Column:
@@ -63,48 +66,55 @@ def priority_score(rul_hours, criticality, last_maintenance_days) -> Column:
 
     NULL rul -> 0.0 (GREATEST skips the NULL sum); NULL days -> the 30 cap.
     """
-    r = _col(rul_hours).cast("double")
-    d = _col(last_maintenance_days).cast("int")
-    raw = ((F.lit(1) - r / F.lit(C.PRIORITY_RUL_SCALE)) * F.lit(C.PRIORITY_RUL_WEIGHT)
-           + criticality_points(criticality)
-           + F.least(d / F.lit(C.PRIORITY_DAYS_DIVISOR), F.lit(C.PRIORITY_DAYS_CAP)))
+    used = F.lit(1) - _col(rul_hours).cast("double") / F.lit(C.PRIORITY_RUL_SCALE)
+    age = _col(last_maintenance_days).cast("int") / F.lit(C.PRIORITY_DAYS_DIVISOR)
+    raw = used * F.lit(C.PRIORITY_RUL_WEIGHT) + criticality_points(criticality) + F.least(age, F.lit(C.PRIORITY_DAYS_CAP))
     return F.least(F.lit(100.0), F.greatest(F.lit(0.0), raw))
 
 
-def _sql_case_points() -> str:
-    arms = " ".join(f"WHEN '{g}' THEN {p}" for g, p in C.CRITICALITY_POINTS.items())
-    return f"CASE equipment_criticality {arms} ELSE {C.CRITICALITY_POINTS_OTHER} END"
+def _case(arms, other) -> str:
+    return " ".join(["CASE", *[f"WHEN {test} THEN {value}" for test, value in arms], f"ELSE {other} END"])
+
+
+def _status_sql(*signals: str) -> str:
+    tests = [" OR ".join(f"{s} > {x}" for s, x in zip(signals, limits, strict=True)) for _, *limits in C.STATUS_LIMITS]
+    labels = [f"'{label}'" for label, *_ in C.STATUS_LIMITS]
+    return _case(zip(tests, labels, strict=True), f"'{C.STATUS_NORMAL}'")
+
+
+def _rul_sql(life: str, hours: str, *signals: str) -> str:
+    terms = [hours]
+    for s, (free, weight) in zip(signals, C.RUL_PENALTIES, strict=True):
+        terms.append(f"{s if free is None else f'greatest({s} - {free}, 0)'} * {weight}")
+    return f"greatest(0, {' - '.join([life, *terms])})"
+
+
+def _priority_sql(rul: str, grade: str, days: str) -> str:
+    points = _case([(f"{grade} = '{g}'", p) for g, p in C.CRITICALITY_POINTS.items()], C.CRITICALITY_POINTS_OTHER)
+    terms = [f"(1 - {rul} / {C.PRIORITY_RUL_SCALE}) * {C.PRIORITY_RUL_WEIGHT}", points,
+             f"least({days} / {C.PRIORITY_DAYS_DIVISOR}, {C.PRIORITY_DAYS_CAP})"]
+    return f"least(100, greatest(0, {' + '.join(terms)}))"
 
 
+#: name -> (parameters, result type, body)
 SQL_FUNCTIONS = {
-    "assess_vibration_status": f"""
-        (vibration_rms DOUBLE, temperature DOUBLE) RETURNS STRING RETURN
-        CASE
-          WHEN vibration_rms > {C.VIBRATION_CRITICAL} OR temperature > {C.TEMPERATURE_CRITICAL} THEN '{C.STATUS_CRITICAL}'
-          WHEN vibration_rms > {C.VIBRATION_DANGER} OR temperature > {C.TEMPERATURE_DANGER} THEN '{C.STATUS_DANGER}'
-          WHEN vibration_rms > {C.VIBRATION_CAUTION} OR temperature > {C.TEMPERATURE_CAUTION} THEN '{C.STATUS_CAUTION}'
-          ELSE '{C.STATUS_NORMAL}'
-        END""",
-    "estimate_rul": f"""
-        (operating_hours DOUBLE, avg_vibration DOUBLE, avg_temperature DOUBLE,
-         max_operating_hours DOUBLE DEFAULT {C.RUL_MAX_OPERATING_HOURS}) RETURNS DOUBLE RETURN
-        GREATEST(0, max_operating_hours - operating_hours
-                    - (avg_vibration * {C.RUL_VIBRATION_WEIGHT})
-                    - (GREATEST(avg_temperature - {C.RUL_TEMPERATURE_BASE}, 0) * {C.RUL_TEMPERATURE_WEIGHT}))""",
-    "maintenance_priority_score": f"""
-        (rul_hours DOUBLE, equipment_criticality STRING, last_maintenance_days INT) RETURNS DOUBLE RETURN
-        LEAST(100, GREATEST(0,
-          (1 - rul_hours / {C.PRIORITY_RUL_SCALE}) * {C.PRIORITY_RUL_WEIGHT} +
-          {_sql_case_points()} +
-          LEAST(last_maintenance_days / {C.PRIORITY_DAYS_DIVISOR}, {C.PRIORITY_DAYS_CAP})))""",
+    "assess_vibration_status": (
+        "vibration_rms DOUBLE, temperature DOUBLE", "STRING", _status_sql("vibration_rms", "temperature")),
+    "estimate_rul": (
+        "operating_hours DOUBLE, avg_vibration DOUBLE, avg_temperature DOUBLE, "
+        f"max_operating_hours DOUBLE DEFAULT {C.RUL_MAX_OPERATING_HOURS}", "DOUBLE",
+        _rul_sql("max_operating_hours", "operating_hours", "avg_vibration", "avg_temperature")),
+    "maintenance_priority_score": (
+        "rul_hours DOUBLE, equipment_criticality STRING, last_maintenance_days INT", "DOUBLE",
+        _priority_sql("rul_hours", "equipment_criticality", "last_maintenance_days")),
 }
 
 
 def register_sql_functions(spark: SparkSession, temporary: bool = True) -> list[str]:
     """Create (or replace) the three SQL functions in the session."""
     kind = "TEMPORARY FUNCTION" if temporary else "FUNCTION"
-    for name, body in SQL_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE {kind} {name}{body}")
+    for name, (parameters, result, body) in SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE {kind} {name}({parameters}) RETURNS {result} RETURN {body}")
     return list(SQL_FUNCTIONS)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import checkpoint_root
+from .measures import signal_stats
 
 FEATURES = ["operating_hours", "avg_vibration", "max_vibration", "std_vibration", "avg_temperature",
             "max_temperature", "avg_pressure", "avg_current", "reading_count", "criticality_encoded"]
@@ -42,15 +43,8 @@ def rul_features(readings: DataFrame, equip: DataFrame, keys=("equipment_id",))
     Aggregated per key first; the one-row-per-key result joins the master.
     """
     src = readings.withColumn("date", F.to_date("timestamp")) if "date" in keys else readings
-    agg = src.groupBy(*keys).agg(
-        F.avg("vibration_rms").alias("avg_vibration"),
-        F.max("vibration_rms").alias("max_vibration"),
-        F.stddev("vibration_rms").alias("std_vibration"),
-        F.avg("temperature_c").alias("avg_temperature"),
-        F.max("temperature_c").alias("max_temperature"),
-        F.avg("pressure_bar").alias("avg_pressure"),
-        F.avg("current_amp").alias("avg_current"),
-        F.count(F.lit(1)).alias("reading_count"))
+    agg = src.groupBy(*keys).agg(*signal_stats(
+        "std_vibration", vibration="avg max", temperature="avg max", pressure="avg", current="avg"))
     return equip.select("equipment_id", "operating_hours", "criticality").join(agg, "equipment_id")
 
 

@@ -53,6 +53,31 @@ def q_rul_training_windows(spark, sf_dir):
     return _training(spark, sf_dir, True).withColumn("std_vibration", F.round("std_vibration", 6))
 
 
+def _fixed(spark, sf_dir):
+    """Every machine with a prediction anyone can recompute: design life less hours."""
+    rule = F.lit(C.RUL_MAX_OPERATING_HOURS) - F.col("operating_hours").cast("double")
+    return _training(spark, sf_dir, False).withColumn("prediction", rule)
+
+
+FIXED_SQL = (f"(SELECT *, {C.RUL_MAX_OPERATING_HOURS} - CAST(operating_hours AS DOUBLE) AS prediction "
+             f"FROM ({_training_sql(False)}) t) p")
+
+
+@register("rul_evaluate_fixed", covers="L6", oracle=f"""
+SELECT COUNT(*) AS n, {O.r6('AVG(ABS(rul_hours - prediction))')} AS mae,
+       {O.r6('1 - SUM((rul_hours - prediction) * (rul_hours - prediction)) / (VAR_POP(rul_hours) * COUNT(*))')} AS r2
+FROM {FIXED_SQL}""")
+def q_rul_evaluate_fixed(spark, sf_dir):
+    return ML.evaluate(_fixed(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("mae", "r2")})
+
+
+@register("rul_residuals_fixed", covers="L8", oracle=f"""
+SELECT equipment_id, {O.r6('rul_hours')} AS actual, prediction AS predicted, {O.r6('rul_hours - prediction')} AS error
+FROM {FIXED_SQL}""")
+def q_rul_residuals_fixed(spark, sf_dir):
+    return ML.residuals(_fixed(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("actual", "error")})
+
+
 def _fit(spark, sf_dir):
     return ML.fit_and_test(_training(spark, sf_dir, True))
 

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root, local_master
+from .sinks import path_exists, read_table, write_snapshot
+
+#: Folder beside the text files with what their names cannot say; Spark's file sources skip it.
+MANIFEST = "_manifest"
+
 
 def knowledge_base(docs: DataFrame) -> DataFrame:
     """K1: the knowledge table: doc_id, title, content (all strings)."""
@@ -14,8 +20,25 @@ def knowledge_base(docs: DataFrame) -> DataFrame:
 
 
 def file_name_of(doc_id="doc_id", title="title"):
-    """``{doc_id}_{title with spaces -> _}.txt``."""
-    return F.concat(F.col(doc_id), F.lit("_"), F.replace(F.col(title), F.lit(" "), F.lit("_")), F.lit(".txt"))
+    """``{doc_id}_{title with spaces -> _}.txt``; slashes become ``_`` too, NULL counts as empty."""
+    def part(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    return F.translate(F.concat(part(doc_id), F.lit("_"), part(title), F.lit(".txt")), " /", "__")
+
+
+def shared_folder(spark: SparkSession, path: str) -> str:
+    """``path`` with its filesystem; on a cluster a worker's own disk is an error."""
+    sc = spark.sparkContext
+
+    def full(name: str) -> str:
+        p = sc._jvm.org.apache.hadoop.fs.Path(name)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+    target = full(path)
+    if target.startswith("file:") and not local_master(sc.master) and not target.startswith(full(checkpoint_root(spark))):
+        raise ValueError(f"{target} is a folder of each worker; name one that the executors of {sc.master} share")
+    return target
 
 
 def _write_partition(base: str):
@@ -37,9 +60,15 @@ def export_documents(docs: DataFrame, path: str) -> str:
 
     Each task writes its own documents straight to the shared folder (any
     filesystem pyarrow can open); nothing passes through the driver.
-    Rewriting a document replaces its file, so reruns are idempotent.
+    Rewriting a document replaces its file, so reruns are idempotent.  A
+    manifest lists the documents of the last export with their true ids and
+    titles, NULLs included.  Documents that share a file name are not
+    distinct documents (an id has one title): the last one written stays.
     """
-    docs.select(file_name_of().alias("file_name"), "content").foreachPartition(_write_partition(path))
+    named = docs.select(file_name_of().alias("file_name"), "doc_id", "title", "content")
+    named.select("file_name", "content").foreachPartition(_write_partition(shared_folder(docs.sparkSession, path)))
+    write_snapshot(named.select("file_name", "doc_id", "title", F.col("content").isNull().alias("no_content")),
+                   f"{path}/{MANIFEST}")
     return path
 
 
@@ -47,13 +76,17 @@ def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     """A folder of ``*.txt`` files as (doc_id, title, content).
 
     ``binaryFile`` yields one row per file with its whole contents and the
-    UTF-8 decode runs in the JVM.  Spark's file sources skip zero-byte files
-    when planning splits, so a document with empty content does not come
-    back from the folder (it carries no knowledge either).
+    UTF-8 decode runs in the JVM.  Listed documents get id, title and NULL
+    content from the manifest; Spark's file sources skip zero-byte files, so
+    a listed document without a file row is empty.  Files that no manifest
+    lists are read by their names: the id ends at the first ``_``.
     """
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
-           .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("f"), "content"))
-    pattern = r"^([^_]*)_(.*)\.txt$"
-    return raw.select(F.regexp_extract("f", pattern, 1).alias("doc_id"),
-                      F.regexp_extract("f", pattern, 2).alias("title"),
-                      F.decode("content", "UTF-8").alias("content"))
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+             .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                     F.decode("content", "UTF-8").alias("text")))
+    parts = [F.regexp_extract("file_name", r"^([^_]*)_(.*)\.txt$", k) for k in (1, 2)]
+    if not path_exists(spark, f"{path}/{MANIFEST}"):
+        return files.select(parts[0].alias("doc_id"), parts[1].alias("title"), F.col("text").alias("content"))
+    both = read_table(spark, f"{path}/{MANIFEST}").withColumn("listed", F.lit(True)).join(files, "file_name", "full")
+    return both.select(*[F.when(F.col("listed"), F.col(c)).otherwise(p).alias(c) for c, p in zip(("doc_id", "title"), parts, strict=True)],
+                       F.when(F.col("no_content"), F.lit(None)).otherwise(F.coalesce("text", F.lit(""))).alias("content"))

@@ -20,14 +20,20 @@ def test_append_is_idempotent_per_partition(spark):
     assert sorted(r.k for r in read_table(spark, path).collect()) == ["a", "b", "c"]
 
 
-def test_document_round_trip_with_spaces(spark):
-    docs = spark.createDataFrame([("DOC-001", "CNC 선반 정비 가이드", "첫 줄\n둘째 줄"),
-                                  ("DOC-002", "프레스기 안전 점검", "")], "doc_id string, title string, content string")
+def test_document_round_trip_keeps_odd_documents(spark):
+    docs = [("DOC-001", "CNC 선반 정비 가이드", "첫 줄\n둘째 줄"), ("DOC-002", "프레스기 안전 점검", ""), ("DOC-003", "no text", None),
+            ("KB_001", "a_b c", "x"), ("KB_002", None, "y"), ("KB_003", None, "z"), ("KB_004", "in/out", "w")]
     path = scratch_path(spark, "t_docs")
-    export_documents(docs, path)
-    back = {r.doc_id: (r.title, r.content) for r in read_document_files(spark, path).collect()}
-    assert back["DOC-001"] == ("CNC_선반_정비_가이드", "첫 줄\n둘째 줄")
-    assert "DOC-002" not in back  # zero-byte files are skipped by Spark's file sources
+    given = spark.createDataFrame(docs, "doc_id string, title string, content string")
+    for _ in range(2):  # a rerun replaces
+        export_documents(given, path)
+        assert sorted(map(tuple, read_document_files(spark, path).collect()), key=lambda r: r[0]) == docs
+
+
+def test_document_files_without_manifest(spark, tmp_path):
+    (tmp_path / "DOC-001_safety_check.txt").write_text("text")
+    back = read_document_files(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in back] == [("DOC-001", "safety_check", "text")]
 
 
 def test_listing_and_dictionary(spark, equip):
