@@ -1,9 +1,10 @@
-"""Substring dedup by hashing normalised lines, sentences or paragraphs.
+"""Substring dedup by hashing normalised paragraphs, lines and sentences.
 
-A text is cut into units; each unit's normal form (lower case, runs of white
+A text is cut into units, each paragraph, each of its lines and each sentence of a line;
+a unit's normal form (lower case, runs of white
 space as one blank, trimmed) is hashed to 128 bits.  Digests are grouped over
-the whole corpus, the occurrence in the smallest document (and the first
-inside a document) stays, later ones go.  Removed units keep their offsets in
+the whole corpus, whatever the kind of unit; the occurrence in the smallest document (and the first
+inside a document) stays, later ones go, with all that lies inside them.  Removed units keep their offsets in
 the original text.
 
 Scale: only (digest, doc_id) pairs are shuffled, one per distinct unit of a
@@ -13,7 +14,8 @@ is a join that Spark can split at skewed digests; removals are gathered per
 document, bounded by its own number of units.
 
 Defined cases: null text has no units, result text null and a digest of the
-empty text; units with fewer than ``min_words`` words always stay; a null
+empty text; blank units are none; sentences with fewer than ``min_words`` words go only with a
+line or paragraph (or as one); a unit inside a removed one still counts as an occurrence; a null
 doc_id ranks after all others; rows that share a doc_id rank equal and are
 treated alike; an empty table gives no rows.
 """
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,35 +33,58 @@ from pyspark.sql import functions as F
 
 from .common import text_batches
 
-MIN_WORDS = 5
+MIN_WORDS = 5            # of a sentence; lines and paragraphs are units from one word
 NO_ID = 2**63 - 1
+KINDS = ("paragraph", "line", "sentence")
 
 #: What ends a unit, by kind; the units and what stands between them make up the text.
 BOUNDARIES = {
     "paragraph": re.compile(r"\n\s*\n"),
     "line": re.compile(r"\n"),
-    "sentence": re.compile(r"\n|(?<=[.!?])[ \t]+"),
+    "sentence": re.compile(r"(?<=[.!?])[ \t]+"),
 }
 
 
-def units(text: str, kind: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of each unit with enough words, in order."""
-    at = 0
-    ends = [(m.start(), m.end()) for m in BOUNDARIES[kind].finditer(text)]
-    for end, after in [*ends, (len(text), len(text))]:
-        found = text[at:end].lower().split()
-        if len(found) >= min_words:
-            yield at, end, hashlib.blake2b(" ".join(found).encode("utf-8", "replace"), digest_size=16).digest()
+def pieces(text: str, kind: str, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
+    """(start, end, normal form) of each unit of one kind that is not blank, in order."""
+    at = start
+    ends = [(m.start(), m.end()) for m in BOUNDARIES[kind].finditer(text, start, stop)]
+    for end, after in [*ends, (stop, stop)]:
+        normal = " ".join(text[at:end].lower().split())
+        if normal:
+            yield at, end, normal
         at = after
 
 
-def digests(docs: DataFrame, kind: str, min_words: int) -> DataFrame:
+def units(text: str, kinds: Collection[str], min_words: int) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, digest) of each unit, one that holds others before them.
+
+    A sentence that is all of its line, or a line that is all of its paragraph, is one unit.
+    """
+    def digest(normal: str) -> bytes:
+        return hashlib.blake2b(normal.encode("utf-8", "replace"), digest_size=16).digest()
+
+    for start, end, whole in pieces(text, "paragraph", 0, len(text)):
+        lines = list(pieces(text, "line", start, end))
+        if "paragraph" in kinds and (len(lines) > 1 or "line" not in kinds):
+            yield start, end, digest(whole)
+        for a, b, normal in lines:
+            if "line" in kinds:
+                yield a, b, digest(normal)
+            if "sentence" in kinds:
+                parts = list(pieces(text, "sentence", a, b))
+                for x, y, part in parts if len(parts) > 1 or "line" not in kinds else ():
+                    if part.count(" ") + 1 >= min_words:
+                        yield x, y, digest(part)
+
+
+def digests(docs: DataFrame, kinds: Collection[str], min_words: int) -> DataFrame:
     """(rank, d1, d2): each distinct unit digest of each document, as two longs."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids, found = [], []
             for rank, text in zip(b["rank"], b["text"], strict=True):
-                own = {d for _, _, d in units(text, kind, min_words)} if text else ()
+                own = {d for _, _, d in units(text, kinds, min_words)} if text else ()
                 ids += [rank] * len(own)
                 found += own
             d = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
@@ -68,13 +93,17 @@ def digests(docs: DataFrame, kind: str, min_words: int) -> DataFrame:
     return docs.mapInPandas(emit, "rank long, d1 long, d2 long")
 
 
-def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "sentence",
+def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str | None = None,
                 min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document: id, n_units, kept_text, removed (spans with original offsets), n_removed chars."""
+    """One row per document: id, n_units, kept_text, removed (spans with original offsets), n_removed chars.
+
+    ``kind`` restricts the units to one kind; a unit that goes with a larger one has no span of its own.
+    """
+    kinds = KINDS if kind is None else (kind,)
     text_batches(docs.sparkSession)
     ranked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                          F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("rank"))
-    found = digests(ranked.select("rank", "text"), kind, min_words)
+    found = digests(ranked.select("rank", "text"), kinds, min_words)
     shared = (found.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))
     gone = (found.join(shared, ["d1", "d2"]).where("rank > first")
@@ -87,9 +116,9 @@ def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 drop = {np.array([d["d1"], d["d2"]], "<i8").tobytes() for d in dup} if dup is not None else set()
                 seen: set[bytes] = set()
                 kept, spans, at, n = [], [], 0, 0
-                for start, end, digest in units(text, kind, min_words) if text else ():
+                for start, end, digest in units(text, kinds, min_words) if text else ():
                     n += 1
-                    if digest in drop or digest in seen:
+                    if start >= at and (digest in drop or digest in seen):
                         kept.append(text[at:start])
                         spans.append({"start": start, "end": end})
                         at = end
