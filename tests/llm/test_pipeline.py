@@ -35,3 +35,14 @@ def test_near_dedup_links_from_80_percent(spark):
     got = P.near_dedup(spark, frame(spark, [(1, base), (2, near), (4, prose(r, 200))]), "").collect()
     assert {x["doc_id"] for x in got} == {1, 4}
     assert {x["doc_id"] for x in P.near_dedup(spark, frame(spark, [(1, base), (3, far)]), "").collect()} == {1, 3}
+
+
+def test_redaction_cuts_each_row_by_its_own_spans(spark):
+    key = 'password="Xk29fLmQ81zz7RtB"'
+    rows = [(None, f"{key} at the front"), (None, "clean text of some length, longer than the other"), (None, f"at the end {key}"),
+            (None, None), (7, f"one {key}"), (7, "seven without any of them"), (7, f"{key}, {key}"), (8, "clean"), (7, f"one {key}")]
+    got = P.secrets(spark, frame(spark, rows), "").collect()
+    # the match ends before a closing quote
+    want = [(i, t and t.replace(key[:-1], "[SECRET]")) for i, t in rows]
+    assert sorted(map(str, ((x["doc_id"], x["text"]) for x in got))) == sorted(map(str, want))
+    assert all(x["n_chars"] == (x["text"] and len(x["text"])) for x in got)
