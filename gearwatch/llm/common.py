@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -17,6 +17,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 #: Rows of text per Arrow batch handed to Python.
 TEXT_ROWS_PER_BATCH = 1_000
+#: Key of the one row with a null id, where no id repeats.
+NO_ID = 2**63 - 1
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,3 +64,40 @@ def small_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write under the shared folder and read back: cuts lineage and survives lost executors."""
     return materialize(df, name)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """``docs`` with ``_key``, and whether ids repeat (null ids too).
+
+    Rows equal in id and text share a key, all others have different ones; keys
+    are in order of (id, text digest), null ids last.  Where no id repeats
+    the id is the key; else the distinct (id, digest) are dealt into ranges and numbered.
+    """
+    one = F.col(id_col).cast("long")
+    plain = F.coalesce(one, F.lit(NO_ID))
+    times = docs.select(plain.alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("n"))
+    if not times.where("n > 1").limit(1).count():
+        return docs.withColumn("_key", plain), False
+    place = ["_none", "_id", "_digest"]
+    marked = (docs.withColumn("_none", one.isNull()).withColumn("_id", plain)
+              .withColumn("_digest", F.coalesce(F.md5(F.col(text_col)), F.lit(""))))
+    ranged = written(marked.select(*place).distinct().repartitionByRange(*place).withColumn("_part", F.spark_partition_id()), "key-ranges")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))  # a row per range
+    below = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(below, F.lit(0)).alias("_below"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*place))
+    numbered = ranged.withColumn("_at", inside).join(starts, "_part").select(*place, (F.col("_below") + F.col("_at")).alias("_key"))
+    return marked.join(written(numbered, "keys"), place).drop(*place), True
+
+
+def one_of_each(rows: DataFrame, repeated: bool, text: Column) -> DataFrame:
+    """(id, text) of each key of ``keyed`` rows, once."""
+    own = rows.select(F.col("_key").alias("id"), text.alias("text"))
+    return own.dropDuplicates(["id"]) if repeated else own
+
+
+def doc_ids(rows: DataFrame, repeated: bool, id_col: str) -> DataFrame:
+    """(id, doc_id): the key and the id of each ``keyed`` row."""
+    if repeated:
+        return rows.select(F.col("_key").alias("id"), F.col(id_col).cast("long").alias("doc_id"))
+    return rows.select(F.col("_key").alias("id"), F.when(F.col("_key") != NO_ID, F.col("_key")).alias("doc_id"))

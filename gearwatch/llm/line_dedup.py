@@ -16,8 +16,8 @@ document, bounded by its own number of units.
 Defined cases: null text has no units, result text null and a digest of the
 empty text; blank units are none; sentences with fewer than ``min_words`` words go only with a
 line or paragraph (or as one); a unit inside a removed one still counts as an occurrence; a null
-doc_id ranks after all others; rows that share a doc_id rank equal and are
-treated alike; an empty table gives no rows.
+doc_id ranks after all others; different texts under one doc_id (or under null) rank by their digest,
+rows equal in both rank equal and are treated alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,10 +31,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import keyed, text_batches
 
 MIN_WORDS = 5            # of a sentence; lines and paragraphs are units from one word
-NO_ID = 2**63 - 1
 KINDS = ("paragraph", "line", "sentence")
 
 #: What ends a unit, by kind; the units and what stands between them make up the text.
@@ -101,8 +100,8 @@ def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     kinds = KINDS if kind is None else (kind,)
     text_batches(docs.sparkSession)
-    ranked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("rank"))
+    rows, _ = keyed(docs, id_col, text_col)
+    ranked = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col("_key").alias("rank"))
     found = digests(ranked.select("rank", "text"), kinds, min_words)
     shared = (found.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))
