@@ -96,8 +96,6 @@ def one_of_each(rows: DataFrame, repeated: bool, text: Column) -> DataFrame:
     return own.dropDuplicates(["id"]) if repeated else own
 
 
-def doc_ids(rows: DataFrame, repeated: bool, id_col: str) -> DataFrame:
+def doc_ids(rows: DataFrame, id_col: str) -> DataFrame:
     """(id, doc_id): the key and the id of each ``keyed`` row."""
-    if repeated:
-        return rows.select(F.col("_key").alias("id"), F.col(id_col).cast("long").alias("doc_id"))
-    return rows.select(F.col("_key").alias("id"), F.when(F.col("_key") != NO_ID, F.col("_key")).alias("doc_id"))
+    return rows.select(F.col("_key").alias("id"), F.col(id_col).cast("long").alias("doc_id"))

@@ -26,8 +26,9 @@ different segments is dealt by single windows instead: equal windows are then
 found by grouping, whatever their number.
 
 Defined cases: null text is empty; texts under 100 bytes lose nothing; a null
-id ranks last; rows that share an id are one document with the smallest of
-their texts, and each of them gets its result; an empty table gives no rows.
+id ranks last; different texts under one id (or under null ids) are documents of their
+own, ranked by the digest of the text; rows equal in id and text are one document, and each of
+them gets its result; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import NO_ID, doc_ids, keyed, one_of_each, text_batches, written
 from .shingles import BASE, BYTE, INVERSE, mix, powers
 
 LENGTH = 100             # bytes
@@ -51,7 +52,6 @@ LONGEST = 4096           # windows in a segment
 BATCH_BYTES = 1 << 18
 TAKEN_BYTES = 1 << 21    # bytes of segments that leave a task together
 HOT = 20_000
-NO_ID = 2**63 - 1
 U = np.uint64
 SEPARATOR = b"\xff"      # no byte of UTF-8
 
@@ -340,11 +340,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, removed, kept): removed are (start, end) byte spans of the text, kept the remaining bytes."""
     text_batches(docs.sparkSession)
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counts = written(own.groupBy("id").agg(F.count(F.lit(1)).alias("times")), "suffix-ids")
-    repeated = counts.where("times > 1").limit(1).count() > 0
-    once = own.groupBy("id").agg(F.min("text").alias("text")) if repeated else own
+    rows, repeated = keyed(docs, id_col, text_col)
+    once = one_of_each(rows, repeated, F.coalesce(F.col(text_col), F.lit("")))
     runs = repeats(once).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # of one text
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -369,5 +366,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = once.join(runs, "id", "left").mapInPandas(
         cut, "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
     if repeated:
-        out = own.select("id").join(out, "id")
+        return doc_ids(rows, id_col).join(out, "id").select("doc_id", "n_bytes", "removed", "kept")
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_bytes", "removed", "kept")

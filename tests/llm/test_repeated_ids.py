@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from gearwatch.llm import hyperminhash, line_dedup
+from gearwatch.llm import hyperminhash, line_dedup, suffix_dedup
 from tests.llm.test_operators import prose
 from tests.llm.test_pipeline import like, shingles
 
@@ -66,3 +66,16 @@ def test_lines_of_rows_that_share_ids(docs):
         want[x] = (x[0], len(own), gone)
     got = line_dedup.dedup_units(docs, kind="line").collect()
     assert text_rows((r["doc_id"], r["n_units"], [tuple(s) for s in r["removed"]]) for r in got) == text_rows(want[x] for x in rows())
+
+
+def test_passages_of_rows_that_share_ids(docs):
+    seen, want = set(), {}
+    for x in sorted(set(rows()), key=order):
+        b, gone = (x[1] or "").encode(), set()
+        for k in range(len(b) - 99):
+            if b[k:k + 100] in seen:
+                gone.update(range(k, k + 100))
+            seen.add(b[k:k + 100])
+        want[x] = (x[0], len(b), bytes(c for k, c in enumerate(b) if k not in gone))
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert text_rows((r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in got) == text_rows(want[x] for x in rows())
