@@ -57,3 +57,61 @@ SELECT doc_id, size, source_size, target,
                             THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r"""
 
 ORACLES = {"op7_quality_rules": QUALITY, "op10_mix_sources": MIX}
+
+#: CRC-32 of a text of ASCII characters: a table of 256 values made by the polynomial, then one step a character.
+CRC_TABLE = """list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def crc32(text: str, table: str) -> str:
+    steps = f"list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT)))"
+    return f"xor(4294967295, list_reduce({steps}, lambda c, x: xor(c >> 8, {table}[1 + (xor(c, x) & 255)])))"
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields) + ")"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MERKLE = f"""
+WITH RECURSIVE tab AS (SELECT {CRC_TABLE} AS t),
+d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS grp, {_leaf('text')} AS leaf,
+         CASE WHEN {crc32('CAST(doc_id AS VARCHAR)', 't')} % 5 = 0 THEN {_leaf(_LOWER)} ELSE {_leaf('text')} END AS found
+  FROM documents, tab),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM d),
+low AS (
+  SELECT grp, 0 AS lev, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT grp, lev + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM low WHERE n > 1
+  GROUP BY grp, lev, pos // 16, n),
+subroots AS (SELECT grp, digest AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS lev, pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT lev + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM high WHERE n > 1
+  GROUP BY lev, pos // 16, n),
+runs AS (
+  SELECT 0 AS tree, grp, lev, pos // 16 AS run, list(digest ORDER BY pos) AS s FROM low WHERE n > 1 GROUP BY grp, lev, pos // 16
+  UNION ALL
+  SELECT 1, '', lev, pos // 16, list(digest ORDER BY pos) FROM high WHERE n > 1 GROUP BY lev, pos // 16),
+walk AS (
+  SELECT l.doc_id, l.leaf, l.grp AS own, 0 AS tree, l.grp, 0 AS lev, l.pos, l.n, '' AS proof, l.found AS fold, l.pos AS place FROM leaves l
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.own,
+         CASE WHEN w.n > 1 THEN w.tree ELSE 1 END, CASE WHEN w.n > 1 THEN w.grp ELSE '' END,
+         CASE WHEN w.n > 1 THEN w.lev + 1 ELSE 0 END, CASE WHEN w.n > 1 THEN w.pos // 16 ELSE b.pos END,
+         CASE WHEN w.n > 1 THEN (w.n + 15) // 16 ELSE b.n END,
+         CASE WHEN w.n > 1 THEN proof || array_to_string(r.s[:w.pos % 16], '') || array_to_string(r.s[w.pos % 16 + 2:], '') ELSE proof END,
+         CASE WHEN w.n > 1 THEN sha256(array_to_string(r.s[:w.pos % 16], '') || fold || array_to_string(r.s[w.pos % 16 + 2:], '')) ELSE fold END,
+         w.place
+  FROM walk w JOIN subroots b ON b.grp = w.own
+  LEFT JOIN runs r ON w.n > 1 AND r.tree = w.tree AND r.grp = w.grp AND r.lev = w.lev AND r.run = w.pos // 16
+  WHERE w.n > 1 OR w.tree = 0)
+SELECT w.doc_id, w.leaf, b.subroot, h.digest AS root, sha256(w.proof) AS proof_sha256, w.fold AS folded_root, w.fold = h.digest AS verified
+FROM walk w JOIN subroots b ON b.grp = w.own JOIN high h ON h.n = 1 WHERE w.tree = 1 AND w.n = 1"""
+
+ORACLES["op11_merkle_manifest"] = MERKLE

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperminhash, language_id, line_dedup, mixing, packing, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
+from . import hyperminhash, language_id, line_dedup, merkle, mixing, packing, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
 from .common import load
 from .oracle_sql import ORACLES  # noqa: F401
 
@@ -89,3 +91,15 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(hit, merkle.leaf(*[lowered if f == "text" else F.col(f) for f in merkle.FIELDS]))
+    rows = merkle.manifest(docs, also={"tampered": tampered})
+    rows = merkle.verified(rows, F.coalesce("tampered", "leaf"))
+    return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       "folded_root", "verified")
