@@ -101,19 +101,32 @@ def doc_ids(rows: DataFrame, id_col: str) -> DataFrame:
     return rows.select(F.col("_key").alias("id"), F.col(id_col).cast("long").alias("doc_id"))
 
 
+def ranged(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` (a written table) sorted by ``keys`` into dealt ranges, written: ``_range`` and ``_place`` tell where.
+
+    ``_place`` ascends along all rows.  Rows equal in all keys are split between
+    ranges too, by their place in the written table.
+    """
+    order = [*keys, "_tie"]
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(dealt.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), name)
+    return placed.withColumn("_range", F.shiftright("_place", 33))  # the task's number
+
+
+def earlier_ranges(column: str, groups: list[str]) -> Column:
+    """Sum of ``column`` over the ranges of the same group that come before."""
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(before), F.lit(0)).cast("long")
+
+
 def numbered(rows: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
     """``rows`` (a written table) with ``at``: the place of each row in its group by ``order``, from 0.
 
     Rows are dealt into sorted ranges and numbered there, so no group need meet in one
-    task; a group's ranges are then counted (a row for each range it is in).  Rows equal in all
-    columns are split between ranges too, by their place in the written table.  ``groups`` are never null.
+    task; a group's ranges are then counted (a row for each range it is in).  ``groups`` are never null.
     """
-    keys = [*groups, *order, "_tie"]
-    ranged = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = written(ranged.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), name)
-    placed = placed.withColumn("_range", F.shiftright("_place", 33))  # the task's number
+    placed = ranged(rows, [*groups, *order], name)
     runs = placed.groupBy(*groups, "_range").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    starts = runs.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    starts = runs.withColumn("_before", earlier_ranges("_n", groups)).drop("_n")
     at = F.col("_before") + F.col("_place") - F.col("_first")
     return placed.join(starts, [*groups, "_range"]).withColumn("at", at).drop("_range", "_place", "_first", "_before")

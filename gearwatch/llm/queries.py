@@ -7,8 +7,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperminhash, language_id, line_dedup, merkle, mixing, packing, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
-from .common import load
+from . import hyperminhash, language_id, line_dedup, merkle, mixing, packing, prefix_trie, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
+from .common import load, numbered, written
 from .oracle_sql import ORACLES  # noqa: F401
 
 QUERIES: dict = {}
@@ -103,3 +103,28 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merkle.verified(rows, F.coalesce("tampered", "leaf"))
     return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
                        "folded_root", "verified")
+
+
+def forked(turns: DataFrame, members: DataFrame, family: int = 100, most: int = 5) -> DataFrame:
+    """Stand-in input of op12: conversation c begins with the first crc32(c) % 6 turns of c - c % 100, then has its own later ones.
+
+    ``turns`` is a written table (conv, at, digest, chars); at most ``most`` turns of each first of a family meet its members.
+    """
+    def forks(conv: str):
+        return F.crc32(F.col(conv).cast("string").cast("binary")) % (most + 1)
+
+    heads = turns.where((F.col("at") < most) & (F.col("conv") % family == 0)).withColumnRenamed("conv", "first")
+    taken = members.withColumn("first", F.col("conv") - F.col("conv") % family).join(heads, "first").where(F.col("at") < forks("conv"))
+    own = turns.where(F.col("at") >= forks("conv"))
+    rows = taken.select("conv", F.lit(0).alias("side"), F.col("at").alias("was"), "digest", "chars").unionByName(
+        own.select("conv", F.lit(1).alias("side"), F.col("at").alias("was"), "digest", "chars"))
+    return written(numbered(written(rows, "forked"), ["conv"], ["side", "was"], "forked").select("conv", "at", "digest", "chars"), "forked")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_rows(load(spark, sf_dir, "conversations"))
+    members = written(turns.select("conv").distinct(), "members")
+    nodes = prefix_trie.trie(forked(turns, members), members)
+    return nodes.select(F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs",
+                        F.col("n_children").cast("long"), F.col("n_leaves").cast("long"), F.col("saved").alias("saved_tokens"), "ends_sha256")
