@@ -115,3 +115,29 @@ SELECT w.doc_id, w.leaf, b.subroot, h.digest AS root, sha256(w.proof) AS proof_s
 FROM walk w JOIN subroots b ON b.grp = w.own JOIN high h ON h.n = 1 WHERE w.tree = 1 AND w.n = 1"""
 
 ORACLES["op11_merkle_manifest"] = MERKLE
+
+TRIE = f"""
+WITH tab AS (SELECT {CRC_TABLE} AS t),
+own AS (
+  SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), x := coalesce("text", '')) ORDER BY turn NULLS FIRST) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT c, s, {crc32('CAST(c AS VARCHAR)', 't')} % 6 AS h FROM own, tab),
+built AS (
+  SELECT a.c, list_concat(coalesce(b.s, [])[:a.h], a.s[a.h + 1:]) AS s FROM cut a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+mem AS (SELECT c, d, len(s) AS n, md5(CAST(s[:d] AS JSON)::VARCHAR) AS k, md5(CAST(s[:greatest(d - 1, 0)] AS JSON)::VARCHAR) AS up,
+               CASE WHEN d > 0 THEN length(s[d].x) ELSE 0 END AS chars
+        FROM built, unnest(range(0, len(s) + 1)) AS r(d)),
+node AS (
+  SELECT k, d, any_value(up) AS up, min(c) AS c, count(*) AS n, min(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends
+  FROM mem GROUP BY k, d),
+kids AS (SELECT up, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY up, d),
+sub AS (
+  SELECT m.k, m.d, sum((x.n - 1) * x.chars) AS saved, count(*) FILTER (WHERE y.n IS NULL) AS leaves
+  FROM node x JOIN mem m ON m.c = x.c AND m.d <= x.d LEFT JOIN kids y ON y.up = x.k AND y.d = x.d GROUP BY m.k, m.d)
+SELECT a.c AS conv_id, a.d AS depth, p.c AS parent_conv_id, a.n AS n_convs, CAST(coalesce(y.n, 0) AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, a.ends AS ends_sha256
+FROM node a JOIN sub s ON s.k = a.k AND s.d = a.d
+LEFT JOIN node p ON a.d > 0 AND p.k = a.up AND p.d = a.d - 1 LEFT JOIN kids y ON y.up = a.k AND y.d = a.d"""
+
+ORACLES["op12_prefix_trie"] = TRIE
