@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperminhash, language_id, line_dedup, merkle, mixing, packing, prefix_trie, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
+from . import hyperminhash, language_id, line_dedup, merkle, mixing, packing, prefix_trie, quality_model, quality_rules, secret_scan, spot_signatures, suffix_dedup, warc
 from .common import load, numbered, written
 from .oracle_sql import ORACLES  # noqa: F401
 
@@ -128,3 +128,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = prefix_trie.trie(forked(turns, members), members)
     return nodes.select(F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs",
                         F.col("n_children").cast("long"), F.col("n_leaves").cast("long"), F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
+@query
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_model.measured(load(spark, sf_dir, "documents"))
+    held = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = quality_model.train(rows.where(~held), load(spark, sf_dir, "labels"))
+    out = quality_model.scores(rows.select("id", "x", held.alias("held_out")), model)
+    return out.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
