@@ -95,3 +95,18 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def dealt_ranges(rows, keys: list[str], name: str):
+    """``rows`` (a written table) sorted by ``keys`` into dealt ranges, written: ``_range`` and ``_place`` tell where.
+
+    ``_place`` ascends along all rows; ``_range`` is the number of the task that wrote the row.  Rows
+    equal in all keys are split between ranges too, by their place in the written table, so
+    no key has to fit into one task.
+    """
+    from pyspark.sql import functions as F
+
+    order = [*keys, "_tie"]
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialize(dealt.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), name)
+    return placed.withColumn("_range", F.shiftright("_place", 33))
