@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.health import estimate_rul, status_of
+from ..sources.ledger import append_run, read_runs
 from ..sources.sinks import append_batch, read_table, write_snapshot
 from . import aggregates as A
 from . import readings as R
@@ -40,22 +41,31 @@ def generate_alerts(health: DataFrame, equip: DataFrame, as_of=None) -> DataFram
 
 
 def daily_run(spark: SparkSession, store: str, new_readings: DataFrame, equip: DataFrame,
-              day: _dt.date, base: str, as_of=None) -> dict[str, str]:
+              day: _dt.date, base: str, as_of=None, run_id: str | None = None) -> dict[str, str]:
     """Ingest (S5) -> analyze (A4) -> alert (B1), each step writing a table.
 
-    * ingest appends the day's readings to the date-partitioned ``store``
-      with dynamic partition overwrite, so a rerun replaces that day instead
-      of duplicating it;
+    With ``run_id`` (one file, one hand-over) the store and the alerts are ledgers of runs: a second file of
+    a day is added to the first, and a retry replaces its own rows only.  Without it the store is a
+    plain date-partitioned folder and the batch stands for the whole day:
+
+    * ingest appends the readings to ``store`` (the day, or the run, is replaced by a rerun);
     * analyze reads the store with a partition bound (prunes old days);
-    * alerts are appended partitioned by run date (idempotent reruns).
+    * alerts are appended by run date, or as this run's.
     """
     paths = {"readings": store, "health": f"{base}/equipment_health_daily",
              "alerts": f"{base}/maintenance_alerts"}
     batch = R.reading_date(R.ingest_daily_batch(new_readings, day))
-    append_batch(batch, store, "date")
-    recent = R.recent_readings_pruned(read_table(spark, store), as_of)
+    if run_id is None:
+        append_batch(batch, store, "date")
+    else:
+        append_run(batch, store, run_id, "date")
+    stored = read_table(spark, store) if run_id is None else read_runs(spark, store).drop("run_id")
+    recent = R.recent_readings_pruned(stored, as_of)
     health = A.daily_health(recent.drop("date"), as_of)
     write_snapshot(health, paths["health"])
-    alerts = generate_alerts(read_table(spark, paths["health"]), equip, as_of)
-    append_batch(alerts.withColumn("date", F.to_date("created_at")), paths["alerts"], "date")
+    alerts = generate_alerts(read_table(spark, paths["health"]), equip, as_of).withColumn("date", F.to_date("created_at"))
+    if run_id is None:
+        append_batch(alerts, paths["alerts"], "date")
+    else:
+        append_run(alerts, paths["alerts"], run_id, "date")
     return paths

@@ -9,6 +9,8 @@ metrics are one-pass aggregates.  Nothing is pulled to the driver.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import checkpoint_root
+from ..sources.sinks import path_exists, replace_file
 from .measures import signal_stats
 
 FEATURES = ["operating_hours", "avg_vibration", "max_vibration", "std_vibration", "avg_temperature",
@@ -157,3 +160,62 @@ def fit_and_test(data: DataFrame, max_iter: int = C.MODEL_TREES) -> Fit:
     train = data.where(~F.col("is_test")).checkpoint()  # reliable: written to the shared folder
     model = train_rul(train, max_iter)
     return Fit(model, score(model, data.where(F.col("is_test"))))
+
+
+def save_model(model: PipelineModel, store: str, version: str, facts: dict | None = None) -> str:
+    """Store the fitted pipeline as ``version``; the version named last by ``promote`` serves.
+
+    The pipeline is written to a folder of its own first and the version's record last, so a
+    version is either whole or not there.  An existing version is never replaced.
+    """
+    spark = SparkSession.getActiveSession()
+    if path_exists(spark, f"{store}/versions/{version}.json"):
+        raise ValueError(f"{store} already holds the version {version}")
+    folder = f"model-{uuid.uuid4().hex}"
+    model.write().save(f"{store}/{folder}")
+    record = {"version": version, "folder": folder, "features": FEATURES, "facts": json.dumps(facts or {})}
+    replace_file(spark, f"{store}/versions/{version}.json", json.dumps(record) + "\n")
+    return version
+
+
+def promote(spark: SparkSession, store: str, version: str) -> None:
+    """Let ``version`` be the one that ``load_model`` opens by default."""
+    _record(spark, store, version)
+    replace_file(spark, f"{store}/serving.json", json.dumps({"version": version}) + "\n")
+
+
+def _record(spark: SparkSession, store: str, version: str):
+    if not path_exists(spark, f"{store}/versions/{version}.json"):
+        raise FileNotFoundError(f"{store} holds no version {version}")
+    return spark.read.schema("version string, folder string, features array<string>, facts string").json(
+        f"{store}/versions/{version}.json").first()
+
+
+def serving_version(spark: SparkSession, store: str) -> str:
+    if not path_exists(spark, f"{store}/serving.json"):
+        raise FileNotFoundError(f"{store} has no serving version")
+    return spark.read.schema("version string").json(f"{store}/serving.json").first()["version"]
+
+
+def load_model(spark: SparkSession, store: str, version: str | None = None) -> tuple[str, PipelineModel]:
+    """(version, pipeline) of a stored version, the serving one by default; its features must be the ones of this code."""
+    version = version or serving_version(spark, store)
+    record = _record(spark, store, version)
+    if list(record["features"]) != FEATURES:
+        raise ValueError(f"version {version} was trained on {record['features']}, rows have {FEATURES}")
+    return version, PipelineModel.load(f"{store}/{record['folder']}")
+
+
+def train_and_store(data: DataFrame, store: str, version: str, max_iter: int = C.MODEL_TREES) -> str:
+    """L5 to L9's model: fit on the training rows, store and promote; returns the version."""
+    spark = data.sparkSession
+    train = data.where(~F.col("is_test")).checkpoint()
+    save_model(train_rul(train, max_iter), store, version, {"rows": train.count(), "trees": max_iter})
+    promote(spark, store, version)
+    return version
+
+
+def score_stored(features: DataFrame, store: str, version: str | None = None) -> tuple[str, DataFrame]:
+    """(version, scored rows) by a stored model; nothing is trained."""
+    version, model = load_model(features.sparkSession, store, version)
+    return version, score(model, features)

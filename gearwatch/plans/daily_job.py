@@ -12,6 +12,7 @@ from ..operators import readings as R
 from ..registry import register
 from ..session import scratch_path
 from ..sources import tables as T
+from ..sources.ledger import append_run, read_runs
 from ..sources.sinks import append_batch, read_table
 
 HEALTH_CTE = f"""
@@ -64,3 +65,35 @@ def q_daily_job_run(spark, sf_dir):
     store = append_batch(R.reading_date(readings), f"{base}/sensor_readings", "date")  # existing history
     paths = AL.daily_run(spark, store, readings, equip, C.DEFAULT_AS_OF.date(), base)
     return read_table(spark, paths["alerts"]).drop("date")
+
+
+RUN_DAY = f"CAST({O.AS_OF_TS} AS DATE)"
+RUN_OF = f"""CASE WHEN CAST("timestamp" AS DATE) <> {RUN_DAY} THEN 'history' WHEN HOUR("timestamp") < 12 THEN 'morning' ELSE 'evening' END"""
+
+
+def _two_files(spark, sf_dir):
+    """The run day's readings come in two files; the second is handed over twice."""
+    readings, equip = T.sensor_readings(spark, sf_dir), T.equipment_master(spark, sf_dir)
+    base, day = scratch_path(spark, "daily_files"), C.DEFAULT_AS_OF.date()
+    store = f"{base}/sensor_readings"
+    append_run(R.reading_date(readings).where(F.col("date") != F.lit(day)), store, "history", "date")
+    first = F.hour("timestamp") < 12
+    for run_id, file in (("morning", readings.where(first)), ("evening", readings.where(~first)), ("evening", readings.where(~first))):
+        paths = AL.daily_run(spark, store, file, equip, day, base, run_id=run_id)
+    return paths
+
+
+@register("daily_files_store", covers="B3 S4 S5",
+          oracle=O.with_views(f"""
+SELECT {RUN_OF} AS run_id, CAST("timestamp" AS DATE) AS date, COUNT(*) AS n, SUM(current_amp) AS current_sum
+FROM sensor_readings GROUP BY 1, 2"""))
+def q_daily_files_store(spark, sf_dir):
+    """What the store holds of each run and day after two files of a day and a retry."""
+    stored = read_runs(spark, _two_files(spark, sf_dir)["readings"])
+    return stored.groupBy("run_id", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("current_amp").alias("current_sum"))
+
+
+@register("daily_files_alerts", covers="B3 B1 S4", oracle=O.with_views(ALERTS_SELECT, ALERTS_CTE))
+def q_daily_files_alerts(spark, sf_dir):
+    """The alerts of the last run, which has seen both files of the day."""
+    return read_runs(spark, _two_files(spark, sf_dir)["alerts"], ["evening"]).drop("date", "run_id")

@@ -9,9 +9,10 @@ from .. import oracle as O
 from ..operators import modeling as ML
 from ..operators import readings as R
 from ..registry import register
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import tables as T
-from ..sources.sinks import inference_log, read_table
+from ..sources.ledger import read_runs
+from ..sources.sinks import inference_log, read_table, write_snapshot
 
 
 def _bits(key_sql: str) -> str:
@@ -78,40 +79,68 @@ def q_rul_residuals_fixed(spark, sf_dir):
     return ML.residuals(_fixed(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("actual", "error")})
 
 
-def _fit(spark, sf_dir):
-    return ML.fit_and_test(_training(spark, sf_dir, True))
+#: Training windows and model store by (application, input folder): one training serves all model queries of a session.
+_TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
+VERSION = "rul-gbt-v1"
+
+
+def _trained(spark, sf_dir):
+    """(training windows, model store): windows written once, model trained and stored once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        windows, store = scratch_path(spark, "rul-windows"), scratch_path(spark, "rul-models")
+        write_snapshot(_training(spark, sf_dir, True), windows)
+        ML.train_and_store(read_table(spark, windows), store, VERSION)
+        _TRAINED[key] = windows, store
+    windows, store = _TRAINED[key]
+    return read_table(spark, windows), store
 
 
 @register("rul_holdout_metrics", covers="L5 L6")
 def q_rul_holdout_metrics(spark, sf_dir):
-    """Train on the per-day training windows, evaluate on the held-out windows.
+    """The stored model on the held-out windows.
 
     ``mean_predictor_mae`` is the baseline the model must beat: always
     predicting the training-label mean (one scalar, fetched once).
     """
-    data = _training(spark, sf_dir, True)
-    fit = ML.fit_and_test(data)
+    data, store = _trained(spark, sf_dir)
     train_mean = data.where(~F.col("is_test")).agg(F.avg(ML.LABEL)).first()[0]
-    return ML.evaluate(fit.test_predictions, baseline=float(train_mean))
+    return ML.evaluate(ML.score_stored(data.where("is_test"), store)[1], baseline=float(train_mean))
 
 
 @register("rul_feature_importance", covers="L7")
 def q_rul_feature_importance(spark, sf_dir):
-    return ML.feature_importance(spark, _fit(spark, sf_dir).model)
+    return ML.feature_importance(spark, ML.load_model(spark, _trained(spark, sf_dir)[1])[1])
 
 
 @register("rul_residuals", covers="L8")
 def q_rul_residuals(spark, sf_dir):
-    return ML.residuals(_fit(spark, sf_dir).test_predictions)
+    data, store = _trained(spark, sf_dir)
+    return ML.residuals(ML.score_stored(data.where("is_test"), store)[1])
 
 
 @register("rul_inference_log", covers="L9 S9")
 def q_rul_inference_log(spark, sf_dir):
-    """Score every equipment's latest features with the trained model and
-    append request/response rows to the (date-partitioned) inference log."""
-    fit = _fit(spark, sf_dir)
+    """Score every equipment's latest features with the stored model and
+    append request/response rows to the inference log as a run."""
+    store = _trained(spark, sf_dir)[1]
     current = ML.training_set(T.sensor_readings(spark, sf_dir), T.equipment_master(spark, sf_dir), by_date=False)
-    scored = ML.score(fit.model, current)
+    version, scored = ML.score_stored(current, store)
     target = scratch_path(spark, "rul_inference_log")
-    inference_log(scored, ML.FEATURES, "rul-gbt-v1", R.as_of_timestamp(), target)
-    return read_table(spark, target)
+    inference_log(scored, ML.FEATURES, version, R.as_of_timestamp(), target, run_id=f"{version} noon")
+    return read_runs(spark, target)
+
+
+@register("inference_log_runs", covers="S9 S4", oracle=f"""
+SELECT equipment_id, operating_hours, prediction * r.factor AS rul_hours, 'fixed-v1' AS model_id, r.run_id, CAST({O.AS_OF_TS} AS DATE) AS date
+FROM {FIXED_SQL}, (VALUES ('noon', 1.0), ('evening', 3.0)) r(run_id, factor)""")
+def q_inference_log_runs(spark, sf_dir):
+    """Two runs of one model on one day, the second repeated with other predictions: both runs stay, each once."""
+    rows = materialize(_fixed(spark, sf_dir), "fixed-predictions")
+    target = scratch_path(spark, "fixed_inference_log")
+    for run_id, factor in (("noon", 1.0), ("evening", 2.0), ("evening", 3.0)):
+        scored = rows.withColumn("prediction", F.col("prediction") * factor)
+        inference_log(scored, ["operating_hours"], "fixed-v1", R.as_of_timestamp(), target, run_id=run_id)
+    log = read_runs(spark, target)
+    return log.select("equipment_id", F.get_json_object("request", "$.operating_hours").cast("int").alias("operating_hours"),
+                      F.get_json_object("response", "$.rul_hours").cast("double").alias("rul_hours"), "model_id", "run_id", "date")

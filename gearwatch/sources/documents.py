@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, local_master
-from .sinks import path_exists, read_table, write_snapshot
+from .sinks import hadoop_path, path_exists, read_table, replace_file, write_snapshot
 
-#: Folder beside the text files with what their names cannot say; Spark's file sources skip it.
+#: Beside the text files of an export: what their names cannot say.  Spark's file sources skip it.
 MANIFEST = "_manifest"
+#: In the export's folder: which export counts.
+CURRENT = "current.json"
+NAME_CHARS = 180         # of a file name; longer ones end in a digest
 
 
 def knowledge_base(docs: DataFrame) -> DataFrame:
@@ -19,12 +25,39 @@ def knowledge_base(docs: DataFrame) -> DataFrame:
                        F.col("content").cast("string").alias("content"))
 
 
-def file_name_of(doc_id="doc_id", title="title"):
-    """``{doc_id}_{title with spaces -> _}.txt``; slashes become ``_`` too, NULL counts as empty."""
-    def part(name):
-        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+def _escaped(name: str, marks: str) -> Column:
+    """The text with each of ``marks`` as ``%XX``; NULL is ``%N``, which no text gives."""
+    out = F.col(name).cast("string")
+    for c in "%" + marks:
+        out = F.replace(out, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.coalesce(out, F.lit("%N"))
+
+
+def file_name_of(doc_id="doc_id", title="title") -> Column:
+    """``{doc_id}_{title with spaces -> _}.txt``, made reversible.
+
+    What the plain form would confuse is escaped: ``_`` and ``/`` in id and title, spaces in ids,
+    ``%`` itself, a leading ``.`` and an empty id; so different (id, title) have different names, and names of plain ids and
+    titles are the plain form.  Names beyond ``NAME_CHARS`` are cut and end in a digest.
+    """
+    odd = "_/\\\t\n\r"
+    first = F.regexp_replace(_escaped(doc_id, odd + " "), r"^\.", "%2E")  # Spark skips files that begin with . or _
+    first = F.when(first == "", F.lit("%E")).otherwise(first)
+    whole = F.concat(first, F.lit("_"), F.translate(_escaped(title, odd), " ", "_"))
+    cut = F.concat(F.substring(whole, 1, NAME_CHARS // 4), F.lit("%~"), F.substring(F.sha2(whole.cast("binary"), 256), 1, 32))
+    return F.concat(F.when(F.octet_length(whole) > NAME_CHARS, cut).otherwise(whole), F.lit(".txt"))
+
 
-    return F.translate(F.concat(part(doc_id), F.lit("_"), part(title), F.lit(".txt")), " /", "__")
+def parsed_name(file_name: Column) -> tuple[Column, Column]:
+    """(doc_id, title) of a file name: what ``file_name_of`` escaped, and plain names as they are."""
+    def plain(part: Column) -> Column:
+        out = part
+        for c in "_/\\\t\n\r .%":
+            out = F.replace(out, F.lit(f"%{ord(c):02X}"), F.lit(c))
+        return F.when(part == "%E", F.lit("")).when(part != "%N", out)
+
+    parts = [F.regexp_extract(file_name, r"^([^_]*)_(.*)\.txt$", k) for k in (1, 2)]
+    return plain(parts[0]), plain(parts[1])
 
 
 def shared_folder(spark: SparkSession, path: str) -> str:
@@ -55,38 +88,72 @@ def _write_partition(base: str):
     return run
 
 
+def with_names(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``file_name``, different for different documents.
+
+    Different contents under one (id, title) get the content's digest into their names; equal
+    rows are one document and share a file.
+    """
+    named = docs.select(file_name_of().alias("_name"), F.sha2(F.coalesce(F.concat(F.lit("="), F.col("content")), F.lit("")).cast("binary"), 256)
+                        .alias("_digest"), "doc_id", "title", "content")
+    shared = (named.groupBy("_name").agg(F.min("_digest").alias("lo"), F.max("_digest").alias("hi")).where("lo != hi")
+              .select("_name", F.lit(True).alias("_shared")))
+    own = F.concat(F.regexp_replace("_name", r"\.txt$", ""), F.lit("%~"), F.substring("_digest", 1, 32), F.lit(".txt"))
+    return (named.join(shared, "_name", "left").withColumn("file_name", F.when(F.col("_shared"), own).otherwise(F.col("_name")))
+            .drop("_name", "_digest", "_shared"))
+
+
 def export_documents(docs: DataFrame, path: str) -> str:
     """One text file per document, written by the executors in parallel.
 
-    Each task writes its own documents straight to the shared folder (any
-    filesystem pyarrow can open); nothing passes through the driver.
-    Rewriting a document replaces its file, so reruns are idempotent.  A
-    manifest lists the documents of the last export with their true ids and
-    titles, NULLs included.  Documents that share a file name are not
-    distinct documents (an id has one title): the last one written stays.
+    Each export writes a folder of its own below ``path`` - the files, straight from the tasks (any
+    filesystem pyarrow can open), then a manifest of the documents with their true ids and titles,
+    NULLs included - and only then is it named as the current one, by an atomic rename.  A document that
+    is no longer exported is gone with the old folder's standing, and an export that dies half-way changes nothing.
     """
-    named = docs.select(file_name_of().alias("file_name"), "doc_id", "title", "content")
-    named.select("file_name", "content").foreachPartition(_write_partition(shared_folder(docs.sparkSession, path)))
+    spark = docs.sparkSession
+    version = f"export-{uuid.uuid4().hex}"
+    named = with_names(docs)
+    named.select("file_name", "content").foreachPartition(_write_partition(shared_folder(spark, f"{path}/{version}")))
     write_snapshot(named.select("file_name", "doc_id", "title", F.col("content").isNull().alias("no_content")),
-                   f"{path}/{MANIFEST}")
+                   f"{path}/{version}/{MANIFEST}")
+    replace_file(spark, f"{path}/{CURRENT}", json.dumps({"version": version}) + "\n")
     return path
 
 
+def current_export(spark: SparkSession, path: str) -> str | None:
+    """The folder of the export that counts, if ``path`` holds any."""
+    if not path_exists(spark, f"{path}/{CURRENT}"):
+        return None
+    return f"{path}/{spark.read.schema('version string').json(f'{path}/{CURRENT}').first()['version']}"
+
+
+def drop_old_exports(spark: SparkSession, path: str) -> int:
+    """Remove the folders of exports that no longer count; how many went."""
+    now = current_export(spark, path)
+    folder, fs = hadoop_path(spark, path)
+    old = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("export-")
+           and now is not None and not now.endswith("/" + s.getPath().getName())]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     """A folder of ``*.txt`` files as (doc_id, title, content).
 
     ``binaryFile`` yields one row per file with its whole contents and the
-    UTF-8 decode runs in the JVM.  Listed documents get id, title and NULL
-    content from the manifest; Spark's file sources skip zero-byte files, so
-    a listed document without a file row is empty.  Files that no manifest
-    lists are read by their names: the id ends at the first ``_``.
+    UTF-8 decode runs in the JVM.  Of a folder of exports the current one is read: every listed document, with
+    id, title and NULL content from the manifest (Spark's file sources skip zero-byte files, so
+    a listed document without a file row is empty).  A plain folder is read by the files' names: the id ends at the first ``_``.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    export = current_export(spark, path)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(export or path)
              .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                      F.decode("content", "UTF-8").alias("text")))
-    parts = [F.regexp_extract("file_name", r"^([^_]*)_(.*)\.txt$", k) for k in (1, 2)]
-    if not path_exists(spark, f"{path}/{MANIFEST}"):
-        return files.select(parts[0].alias("doc_id"), parts[1].alias("title"), F.col("text").alias("content"))
-    both = read_table(spark, f"{path}/{MANIFEST}").withColumn("listed", F.lit(True)).join(files, "file_name", "full")
-    return both.select(*[F.when(F.col("listed"), F.col(c)).otherwise(p).alias(c) for c, p in zip(("doc_id", "title"), parts, strict=True)],
-                       F.when(F.col("no_content"), F.lit(None)).otherwise(F.coalesce("text", F.lit(""))).alias("content"))
+    if export is None:
+        doc_id, title = parsed_name(F.col("file_name"))
+        return files.select(doc_id.alias("doc_id"), title.alias("title"), F.col("text").alias("content"))
+    listed = read_table(spark, f"{export}/{MANIFEST}").join(files, "file_name", "left")
+    content = F.when(~F.col("no_content"), F.coalesce("text", F.lit("")))
+    return listed.select("doc_id", "title", content.alias("content"))

@@ -6,6 +6,8 @@ or to catalog tables; nothing is collected on the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,26 @@ def append_batch(df: DataFrame, target: str, partition_by="date", fmt: str = "pa
     return target
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(Hadoop path, its filesystem)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file and put it in the place of the old one by one atomic rename."""
+    jvm = spark.sparkContext._jvm
+    final, fs = hadoop_path(spark, path)
+    draft, _ = hadoop_path(spark, f"{path.rsplit('/', 1)[0]}/.draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(draft), fs.makeQualified(final), how)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder exists on the (possibly remote) Hadoop filesystem."""
     jvm = spark.sparkContext._jvm
@@ -78,11 +100,11 @@ def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFr
 
 
 def inference_log(scored: DataFrame, feature_cols, model_id: str, as_of_ts, target: str | None = None,
-                  prediction_col: str = "prediction") -> DataFrame:
-    """One request/response row per scored record; appended when ``target`` is set.
+                  prediction_col: str = "prediction", run_id: str | None = None) -> DataFrame:
+    """One request/response row per scored record; appended as a run when ``target`` is set.
 
-    Each (day, model) is a partition of its own: another model's rows of the
-    day stay, and scoring again with the same model replaces its rows.
+    Every run stays, also several of one model on one day (``ledger.append_run``).  A retry names the
+    ``run_id`` it repeats and replaces that run only; without one the run is a new one.
     """
     log = scored.select(
         F.col("equipment_id"),
@@ -92,5 +114,6 @@ def inference_log(scored: DataFrame, feature_cols, model_id: str, as_of_ts, targ
         as_of_ts.alias("logged_at"),
         F.to_date(as_of_ts).alias("date"))
     if target:
-        append_batch(log, target, ["date", "model_id"])
+        from .ledger import append_run  # imports this module
+        append_run(log, target, run_id or f"{model_id}-{uuid.uuid4().hex}", "date")
     return log

@@ -47,3 +47,37 @@ def test_evaluate_on_fixed_predictions(spark):
     m = ML.evaluate(df, baseline=3.0).first()
     assert m.n == 3 and math.isclose(m.mae, 2 / 3)
     assert math.isclose(m.r2, 1 - 2 / 8) and math.isclose(m.mean_predictor_mae, 4 / 3)
+
+
+def test_a_stored_model_scores_like_the_fitted_one(spark, readings, equip):
+    import pytest
+
+    from gearwatch.session import scratch_path
+    data = ML.training_set(readings, equip, by_date=True).checkpoint()
+    store = scratch_path(spark, "t_models")
+    with pytest.raises(FileNotFoundError):
+        ML.load_model(spark, store)
+    fit = ML.fit_and_test(data, max_iter=5)
+    ML.save_model(fit.model, store, "v1")
+    ML.train_and_store(data, store, "v2", max_iter=2)
+    with pytest.raises(ValueError):
+        ML.save_model(fit.model, store, "v1")  # a version is never replaced
+    test = data.where("is_test")
+    rows = lambda df: sorted((r.equipment_id, str(r.date), r.prediction) for r in df.collect())
+    version, scored = ML.score_stored(test, store, "v1")
+    assert version == "v1" and rows(scored) == rows(fit.test_predictions)
+    assert ML.score_stored(test, store)[0] == ML.serving_version(spark, store) == "v2"
+    ML.promote(spark, store, "v1")
+    assert rows(ML.score_stored(test, store)[1]) == rows(fit.test_predictions)
+
+
+def test_model_queries_train_once(spark, monkeypatch):
+    from gearwatch import registry
+    from .conftest import SMOKE
+    registry.load_all()
+    trained = []
+    real = ML.train_rul
+    monkeypatch.setattr(ML, "train_rul", lambda train, n=100: trained.append(1) or real(train, 3))
+    for name in ("rul_holdout_metrics", "rul_feature_importance", "rul_residuals", "rul_inference_log"):
+        assert registry.QUERIES[name](spark, SMOKE).count() > 0
+    assert len(trained) <= 1

@@ -30,10 +30,44 @@ def test_document_round_trip_keeps_odd_documents(spark):
         assert sorted(map(tuple, read_document_files(spark, path).collect()), key=lambda r: r[0]) == docs
 
 
+ODD = [("a", "b_c", "X"), ("a_b", "c", "Y"), ("a b", "c", "Z"), ("a", "b c", "W"), ("a%5Fb", "c", "V"), ("a/b", "c", "U"), ("", "", "T"),
+       (None, None, "S"), ("%N", "%N", "R"), ("l", "long title " * 60, "Q"), ("l", "long title " * 61, "P"), ("é 1", "ü\nx", "O"), (".h", "d", "N"), ("%E", "", "M"),
+       ("same", "title", "one"), ("same", "title", "two"), ("same", "title", "two"), ("same", "title", None), ("same", "title", "")]
+
+
+def test_documents_with_confusable_names_round_trip(spark):
+    path = scratch_path(spark, "t_docs")
+    export_documents(spark.createDataFrame(ODD, "doc_id string, title string, content string"), path)
+    back = [tuple(r) for r in read_document_files(spark, path).collect()]
+    assert sorted(back, key=repr) == sorted(ODD, key=repr)
+
+
+def test_names_of_plain_documents_are_plain_and_names_can_be_read_back(spark):
+    from gearwatch.sources.documents import file_name_of, parsed_name
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([r[:2] for r in ODD[:9]] + [("DOC-001", "CNC 선반 정비")], "doc_id string, title string").distinct()
+    named = rows.select("doc_id", "title", file_name_of().alias("f"))
+    back = named.select("doc_id", "title", *[c.alias(n) for c, n in zip(parsed_name(F.col("f")), ("i", "t"), strict=True)], "f").collect()
+    assert {r.f for r in back if r.doc_id == "DOC-001"} == {"DOC-001_CNC_선반_정비.txt"}
+    # an underscore in a name is a space of the title
+    assert len({r.f for r in back}) == 10 and all((r.i, r.t and r.t.replace("_", " ")) == (r.doc_id, r.title and r.title.replace("_", " ")) for r in back)
+
+
+def test_a_new_export_replaces_the_old_one_whole(spark):
+    from gearwatch.sources.documents import drop_old_exports
+    path = scratch_path(spark, "t_docs")
+    docs = lambda *r: spark.createDataFrame(list(r), "doc_id string, title string, content string")
+    export_documents(docs(("1", "a", "x"), ("2", "b", "y")), path)
+    export_documents(docs(("2", "b", "new")), path)
+    assert [tuple(r) for r in read_document_files(spark, path).collect()] == [("2", "b", "new")]
+    assert drop_old_exports(spark, path) == 1
+    assert [tuple(r) for r in read_document_files(spark, path).collect()] == [("2", "b", "new")]
+
+
 def test_document_files_without_manifest(spark, tmp_path):
     (tmp_path / "DOC-001_safety_check.txt").write_text("text")
     back = read_document_files(spark, str(tmp_path)).collect()
-    assert [tuple(r) for r in back] == [("DOC-001", "safety_check", "text")]
+    assert [tuple(r) for r in back] == [("DOC-001", "safety_check", "text")]  # plain names are taken as they are
 
 
 def test_listing_and_dictionary(spark, equip):
@@ -78,16 +112,54 @@ def test_append_to_a_table_keeps_other_days_and_batches(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_inference_log_keeps_each_model_of_a_day(spark):
+def test_inference_log_keeps_every_run(spark):
     from pyspark.sql import functions as F
 
+    from gearwatch.sources.ledger import read_runs
     from gearwatch.sources.sinks import inference_log
     path = scratch_path(spark, "t_log")
     scored = spark.createDataFrame([("EQ-1", 1.0, 2.0)], "equipment_id string, x double, prediction double")
     at = F.lit("2024-02-02 12:00:00").cast("timestamp")
-    for model in ("m1", "m2", "m1"):
-        inference_log(scored, ["x"], model, at, path)
-    assert sorted(r.model_id for r in read_table(spark, path).collect()) == ["m1", "m2"]
+    for model, run in (("m1", None), ("m2", None), ("m1", None), ("m1", "retried"), ("m1", "retried")):
+        inference_log(scored, ["x"], model, at, path, run_id=run)
+    rows = read_runs(spark, path).collect()
+    assert sorted(r.model_id for r in rows) == ["m1", "m1", "m1", "m2"] and len({r.run_id for r in rows}) == 4
+
+
+def test_a_retry_replaces_its_run_alone_and_a_dead_run_is_not_seen(spark):
+    from gearwatch.sources.ledger import append_run, committed, read_runs, vacuum
+    path = scratch_path(spark, "t_ledger")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, date string")
+    append_run(rows(("a", "2024-01-01"), ("b", "2024-01-02")), path, "file 1/2")
+    append_run(rows(("c", "2024-01-01")), path, "file 2/2")
+    append_run(rows(("d", "2024-01-01")), path, "file 1/2")                     # the retry holds no second day any more
+    rows(("x", "2024-01-01")).write.partitionBy("date").parquet(f"{path}/runs/attempt=adead")  # died before its commit
+    got = sorted((r.k, str(r.date), r.run_id) for r in read_runs(spark, path).collect())
+    assert got == [("c", "2024-01-01", "file 2/2"), ("d", "2024-01-01", "file 1/2")]
+    assert [r.k for r in read_runs(spark, path, ["file 2/2"]).collect()] == ["c"]
+    assert vacuum(spark, path) == 2 and vacuum(spark, path) == 0                # the dead and the replaced attempt
+    assert sorted(r.k for r in read_runs(spark, path).collect()) == ["c", "d"] and len(committed(spark, path)) == 2
+
+
+def test_two_files_of_a_day_are_both_kept(spark, readings, equip):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from gearwatch.operators.alerts import daily_run
+    from gearwatch.operators.readings import reading_date
+    from gearwatch.sources.ledger import append_run, read_runs
+    base, day = scratch_path(spark, "t_files"), dt.date(2024, 2, 2)
+    store = append_run(reading_date(readings).where(F.col("date") != F.lit(day)), f"{base}/store", "history")
+    halves = [readings.where(F.hour("timestamp") < 9), readings.where(F.hour("timestamp") >= 9)]
+    for run, part in (("am", halves[0]), ("pm", halves[1]), ("am", halves[0])):
+        paths = daily_run(spark, store, part, equip, day, base, run_id=run)
+    assert read_runs(spark, store).count() == readings.count()
+    # the second file's run and the repeated first run have seen the whole day
+    whole = daily_run(spark, append_batch(reading_date(readings), f"{base}/plain"), readings, equip, day, f"{base}/other")
+    want = sorted(tuple(r)[:4] for r in read_table(spark, whole["alerts"]).collect())
+    for run in ("am", "pm"):
+        assert sorted(tuple(r)[:4] for r in read_runs(spark, paths["alerts"], [run]).collect()) == want
 
 
 def test_cluster_without_shared_folder_is_an_error():
