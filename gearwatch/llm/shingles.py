@@ -15,9 +15,13 @@ def _odd(seed: int, n: int) -> np.ndarray:
     return np.random.RandomState(seed).randint(0, 2**63 - 1, n, dtype=np.int64).astype(U) * U(2) + U(1)
 
 
-BYTE = _odd(11, 256)
+PLACES = 64              # places in a word with random numbers of their own; later ones are mixed from them
+BYTE_AT = _odd(11, 256 * PLACES)
 PLACE = _odd(12, SHINGLE_WORDS)
 SHORT = _odd(13, SHINGLE_WORDS)
+ROUND = _odd(15, 1)[0]
+#: Of the rolling hash that finds anchors in suffix_dedup.
+BYTE = _odd(11, 256)
 BASE = int(_odd(14, 1)[0])
 INVERSE = pow(BASE, -1, 2**64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -42,7 +46,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of each maximal run of bytes other than space and 0x09-0x0D, A-Z lowered."""
+    """(hash, start) of each maximal run of bytes other than space and 0x09-0x0D, A-Z lowered.
+
+    The sum of a random number for every (byte, place): unlike a polynomial, it has no collisions by structure.
+    """
     b = np.frombuffer(data, np.uint8)
     lowered = b | ((b - np.uint8(65) < 26).astype(np.uint8) << 5)
     inside = np.empty(len(b) + 2, bool)
@@ -50,10 +57,17 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     inside[1:-1] = (b != 32) & (b - np.uint8(9) > 4)
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    total = np.zeros(len(b) + 1, U)
-    np.cumsum(BYTE[lowered] * powers(BASE, len(b)), out=total[1:])
-    h = (total[ends] - total[starts]) * powers(INVERSE, len(b) + 1)[starts]
-    return mix(h + (ends - starts).astype(U)), starts
+    # a random number for each byte at its place in its word, summed over the word
+    lengths = ends - starts
+    held = lowered[inside[1:-1]].astype(np.int64)
+    place = np.arange(len(held)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    value = BYTE_AT[((place % PLACES) << 8) + held]
+    late = np.flatnonzero(place >= PLACES)
+    value[late] = mix(value[late] + (place[late] // PLACES).astype(U) * ROUND)
+    total = np.zeros(len(held) + 1, U)
+    np.cumsum(value, out=total[1:])
+    stop = np.cumsum(lengths)
+    return mix(total[stop] - total[stop - lengths] + lengths.astype(U)), starts
 
 
 def pieces(data: bytes) -> Iterator[bytes]:
