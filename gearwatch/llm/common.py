@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import dealt_ranges as ranged
 from ..session import materialize
 
 #: Runs of what separates words: space and \x09-\x0D.
@@ -37,6 +39,11 @@ def text_batches(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
 
 
+def whole_numbers(values: Iterable) -> pd.arrays.IntegerArray:
+    """Ids, given as int, str or None, as nullable 64-bit integers; pandas by itself would make them floats beside a null."""
+    return pd.array([None if v is None or v is pd.NA else int(v) for v in values], "Int64")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also when the body uses it inside lambdas."""
     return F.transform(F.array(value), body)[0]
@@ -101,18 +108,6 @@ def doc_ids(rows: DataFrame, id_col: str) -> DataFrame:
     return rows.select(F.col("_key").alias("id"), F.col(id_col).cast("long").alias("doc_id"))
 
 
-def ranged(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """``rows`` (a written table) sorted by ``keys`` into dealt ranges, written: ``_range`` and ``_place`` tell where.
-
-    ``_place`` ascends along all rows.  Rows equal in all keys are split between
-    ranges too, by their place in the written table.
-    """
-    order = [*keys, "_tie"]
-    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = written(dealt.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), name)
-    return placed.withColumn("_range", F.shiftright("_place", 33))  # the task's number
-
-
 def earlier_ranges(column: str, groups: list[str]) -> Column:
     """Sum of ``column`` over the ranges of the same group that come before."""
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, text_batches
+from .common import keyed, text_batches, whole_numbers
 
 MIN_WORDS = 5            # of a sentence; lines and paragraphs are units from one word
 KINDS = ("paragraph", "line", "sentence")
@@ -125,9 +125,10 @@ def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 whole = None if text is None else "".join(kept) + text[at:]
                 rows.append((doc_id, n, whole, spans, sum(s["end"] - s["start"] for s in spans)))
             out = pd.DataFrame(rows, columns=["doc_id", "n_units", "kept_text", "removed", "n_removed"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            out["doc_id"] = whole_numbers(out["doc_id"])
             yield out
 
-    joined = ranked.join(gone, "rank", "left").select("doc_id", "text", "gone")
+    # an id travels as a string: pandas would make nullable ids floats
+    joined = ranked.join(gone, "rank", "left").select(F.col("doc_id").cast("string"), "text", "gone")
     return joined.mapInPandas(
         cut, "doc_id long, n_units long, kept_text string, removed array<struct<start:long,end:long>>, n_removed long")

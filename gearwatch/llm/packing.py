@@ -21,6 +21,7 @@ packed each by themselves; extra columns are ignored; an empty table gives no ro
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_join, text_batches, written
+from .common import small_join, text_batches, whole_numbers, written
 
 SEQUENCE = 2048
 CLASS = 8
@@ -38,7 +39,7 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 GAP = 1e-3               # distance from the optimum at which pricing stops, as a share
 MAX_COLUMNS = 4000       # patterns priced at most; the program is feasible whenever it stops
-CACHED_WORDS = 400_000   # words whose ids a Python worker remembers
+CACHED_WORDS = 500_000   # words, and pieces of words, in a generation of a Python worker's cache
 BLOCK_ROWS = 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -50,28 +51,93 @@ def tokenizer(name: str):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
+class Recent(dict):
+    """A cache of two generations: what the current one lacks is looked for in the one before."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.before = size, {}
+
+    def find(self, key: str) -> bytes | None:
+        found = self.get(key)
+        if found is None and (found := self.before.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+
+
+#: Texts whose pieces are known without the tokenizer's normalisation: printable ASCII, blanks, line ends and Latin-1
+#: letters, which lower-casing maps one to one.  ``<|`` may begin a special token.
+PLAIN = re.compile(r"[\n -~\u00c0-\u00ff]*")
+#: The tokenizer's own split, over such texts in lower case.
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ \na-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+END_OF_WORD = "</w>"
+JOINED_PIECES = 2000     # pieces encoded as one text
+
+
 class WordIds:
-    """Ids of whole texts, from the ids of their blank-separated words.
+    """Ids of whole texts, from the ids of their pieces.
 
-    The tokenizer drops white space and never joins what it separates, so a
-    text's ids are its words' ids in turn; each new word is encoded once.
+    The tokenizer drops white space, splits a text by a pattern and never joins what that parts; so a text's ids are
+    its pieces' ids in turn.  New pieces are encoded together as one text, blanks between them, and
+    its ids cut after every token that ends a word.  Texts with other characters go by blank-separated
+    words, each encoded by itself.  Both are remembered for as long as the Python worker lives.
     """
 
     def __init__(self, name: str):
         self.encode = tokenizer(name)
-        self.known: dict[str, bytes] = {"": b""}
+        self.words, self.pieces = Recent(CACHED_WORDS), Recent(CACHED_WORDS)
+        vocabulary = self.encode.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(END_OF_WORD)]] = True
+
+    def one_by_one(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.encode.encode_batch(texts, add_special_tokens=False)]
+
+    def together(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece; a text whose ids do not fall into as many words is encoded piece by piece."""
+        ids = np.array(self.encode.encode(" ".join(pieces), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(pieces) or stops[-1] != len(ids):
+            return self.one_by_one(pieces)
+        data, starts = ids.tobytes(), np.concatenate([[0], stops[:-1]])
+        return [data[4 * a:4 * b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+    def known(self, parts: set[str], cache: Recent, learn, at_once: int) -> dict[str, bytes]:
+        """Ids of each part, new ones learnt so many at once."""
+        out = {p: cache.get(p) for p in parts}
+        new = []
+        for p in [p for p, ids in out.items() if ids is None]:
+            out[p] = cache.find(p)
+            if out[p] is None:
+                new.append(p)
+        for at in range(0, len(new), at_once):
+            some = new[at:at + at_once]
+            for p, ids in zip(some, learn(some), strict=True):
+                out[p] = ids
+                cache.put(p, ids)
+        return out
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for w, e in zip(part, self.encode.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        for ws in split:
-            yield b"".join(map(self.known.__getitem__, ws))
+        plain = [bool(PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
+        split = [SPLIT.findall(t.lower()) if p else [w for w in t.replace("\n", " ").split(" ") if w]
+                 for t, p in zip(texts, plain, strict=True)]
+        parts = {p: set().union(*[s for s, q in zip(split, plain, strict=True) if p == q]) for p in (True, False)}
+        ids = {True: self.known(parts[True], self.pieces, self.together, JOINED_PIECES),
+               False: self.known(parts[False], self.words, self.one_by_one, 10_000)}
+        for own, p in zip(split, plain, strict=True):
+            yield b"".join(map(ids[p].__getitem__, own))
+
+
+@functools.lru_cache(maxsize=2)
+def word_ids(name: str) -> WordIds:
+    """One for each Python worker: its caches outlive a task."""
+    return WordIds(name)
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = TOKENIZER) -> DataFrame:
@@ -80,7 +146,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(name)
+        ids_of = word_ids(name)
         for b in batches:
             rows = []
             for doc_id, ids in zip(b["id"], ids_of([t or "" for t in b["text"]]), strict=True):
@@ -90,7 +156,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name
                     part = ids[4 * start:4 * (start + SEQUENCE)]
                     rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            out["doc_id"] = pd.to_numeric(out["doc_id"]).astype("Int64")
+            out["doc_id"] = whole_numbers(out["doc_id"])
             yield out
 
     # an id travels as a string: pandas would make nullable ids floats

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import text_batches, written
+from .common import text_batches, whole_numbers, written
 
 ARCHIVE_BYTES = 32 << 20       # uncompressed record bytes after which a new archive begins
 DICTIONARY_BYTES = 32 << 10
@@ -269,8 +269,8 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 yield frame(part)
 
     def frame(part: list[dict]) -> pd.DataFrame:
-        out = pd.DataFrame(part)
-        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        ids = {c: whole_numbers(r[c] for r in part) for c in ("page_id", "refers_to")}
+        return pd.DataFrame({c: ids.get(c, [r[c] for r in part]) for c in part[0]})
 
     n = max(1, manifest.count())
     return manifest.repartition(n).mapInPandas(read, RECORDS)
