@@ -39,7 +39,7 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 GAP = 1e-3               # distance from the optimum at which pricing stops, as a share
 MAX_COLUMNS = 4000       # patterns priced at most; the program is feasible whenever it stops
-CACHED_WORDS = 150_000   # words, and pieces of words, in a generation of a Python worker's cache
+CACHED_WORDS = 300_000   # words, and pieces of words, in a generation of a Python worker's cache
 BLOCK_ROWS = 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
