@@ -99,6 +99,49 @@ ROUTING_RULES = {
     "예측_Agent": ["수명", "예측", "언제", "RUL", "고장"],
 }
 
+# Published descriptions: metric-view columns (view -> dimension or measure -> text), tables, SQL functions.
+VIEW_COMMENTS = {
+    "mv_equipment_availability": {
+        "equipment_id": "장비 ID (EQ-001 ~ EQ-008)",
+        "measurement_date": "센서 측정 날짜",
+        "total_readings": "총 센서 측정 횟수",
+        "normal_readings": "정상 범위 측정 횟수",
+        "abnormal_readings": "이상 범위 측정 횟수 (진동 > 7 OR 온도 > 75)",
+        "availability_pct": "가동률 (%) - 높을수록 좋음, 90% 이상이 목표",
+    },
+    "mv_equipment_health": {
+        "equipment_id": "장비 ID (EQ-001 ~ EQ-008)",
+        "avg_vibration": "평균 진동 RMS - 정상 기준 4.5 이하, 위험 기준 7.0 초과",
+        "max_vibration": "최대 진동 RMS",
+        "avg_temperature": "평균 온도 (℃) - 정상 기준 60도 이하, 위험 기준 75도 초과",
+        "max_temperature": "최대 온도 (℃)",
+        "avg_pressure": "평균 압력 (bar)",
+        "avg_current": "평균 전류 (A)",
+        "total_readings": "총 측정 건수",
+        "critical_count": "긴급 상태 건수 (진동>10 OR 온도>90)",
+        "warning_count": "위험 이상 건수 (진동>7 OR 온도>75)",
+        "anomaly_rate_pct": "이상 징후 비율 (%) - 낮을수록 좋음",
+    },
+    "mv_oee": {
+        "equipment_id": "장비 ID (EQ-001 ~ EQ-008)",
+        "availability_pct": "가동률 (%) - 정상 범위 가동 비율",
+        "performance_pct": "성능률 (%) - 최적 범위 가동 비율",
+        "quality_pct": "품질률 (%) - 유효 데이터 비율",
+        "oee_pct": "OEE (%) = 가동률 × 성능률 × 품질률 / 10000",
+    },
+}
+LAYER_COMMENTS = {
+    "bronze": "원시 센서 데이터 (Bronze Layer) - IoT 게이트웨이에서 수집된 가공 전 데이터",
+    "silver": "정제된 센서 데이터 (Silver Layer) - 품질 검증 및 이상치 태깅 완료",
+    "gold": "장비 건강 지표 요약 (Gold Layer) - 장비별 일일 상태 집계",
+    "recommendations": "정비 추천 목록 (Gold Layer) - 즉시 정비가 필요한 장비 목록",
+}
+FUNCTION_COMMENTS = {
+    "assess_vibration_status": "진동 RMS와 온도를 기반으로 장비 상태를 판별합니다 (정상/주의/위험/긴급)",
+    "estimate_rul": "장비의 잔여 유효 수명(Remaining Useful Life)을 시간 단위로 추정합니다",
+    "maintenance_priority_score": "정비 우선순위 점수를 0~100 사이로 계산합니다 (높을수록 긴급)",
+}
+
 # ---------------------------------------------------------------------------
 # Our own settings (not from the reference)
 # ---------------------------------------------------------------------------
@@ -125,6 +168,9 @@ FIXTURE_ROUTING_RULES = {
     "예측_Agent": ["this", "pour", "und", "para"],
 }
 
+# Quality tag of each stored layer.
+LAYER_QUALITY = {"bronze": "bronze", "silver": "silver", "gold": "gold", "recommendations": "gold"}
+
 # BM25 parameters for document retrieval.
 BM25_K1 = 1.2
 BM25_B = 0.75

@@ -111,10 +111,11 @@ SQL_FUNCTIONS = {
 
 
 def register_sql_functions(spark: SparkSession, temporary: bool = True) -> list[str]:
-    """Create (or replace) the three SQL functions in the session."""
+    """Create (or replace) the three SQL functions, described, in the session or the catalog."""
     kind = "TEMPORARY FUNCTION" if temporary else "FUNCTION"
     for name, (parameters, result, body) in SQL_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE {kind} {name}({parameters}) RETURNS {result} RETURN {body}")
+        spark.sql(f"CREATE OR REPLACE {kind} {name}({parameters}) RETURNS {result} "
+                  f"COMMENT '{C.FUNCTION_COMMENTS[name]}' RETURN {body}")
     return list(SQL_FUNCTIONS)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..sources.catalog import publish_view
+from ..sources.catalog import publish_view, with_comments
 
 
 @dataclass
@@ -80,8 +80,8 @@ class MetricView:
                           comments={**self.comments, **other.comments})
 
     def publish(self, spark, name: str, dims=(), measures=None) -> str:
-        """Expose one grain of the view to SQL users as a temp view."""
-        return publish_view(spark, name, self.query(dims, measures))
+        """Expose one grain of the view to SQL users as a temp view (S11), its columns described."""
+        return publish_view(spark, name, with_comments(self.query(dims, measures), self.comments))
 
     def describe(self) -> list[tuple[str, str, str, str]]:
         """(view, kind, name, comment) rows for the data dictionary."""

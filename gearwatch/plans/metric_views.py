@@ -58,18 +58,19 @@ OEE_MEASURES = {
 def availability_view(readings: DataFrame) -> MetricView:
     return MetricView("mv_equipment_availability", readings,
                       {"equipment_id": "equipment_id", "measurement_date": "DATE(timestamp)"},
-                      AVAILABILITY_MEASURES,
+                      AVAILABILITY_MEASURES, comments=C.VIEW_COMMENTS["mv_equipment_availability"],
                       comment="Daily availability per equipment: share of readings in the normal range "
                               "(vibration <= 7.0 and temperature <= 75).")
 
 
 def health_view(readings: DataFrame) -> MetricView:
     return MetricView("mv_equipment_health", readings, {"equipment_id": "equipment_id"}, HEALTH_MEASURES,
+                      comments=C.VIEW_COMMENTS["mv_equipment_health"],
                       comment="Sensor health per equipment: averages, maxima and anomaly share.")
 
 
 def oee_view(readings: DataFrame) -> MetricView:
-    return MetricView("mv_oee", readings, {"equipment_id": "equipment_id"}, OEE_MEASURES,
+    return MetricView("mv_oee", readings, {"equipment_id": "equipment_id"}, OEE_MEASURES, comments=C.VIEW_COMMENTS["mv_oee"],
                       comment="OEE = availability x performance x quality / 10000 on unrounded ratios.")
 
 

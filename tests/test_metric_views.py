@@ -73,3 +73,14 @@ def test_metric_dictionary(spark, readings):
     assert ("mv_oee", "measure") in kinds and ("mv_equipment_availability", "dimension") in kinds
     assert sum(r.kind == "measure" for r in rows) == 18  # 4 + 10 + 4 measures
     assert sum(r.kind == "dimension" for r in rows) == 4  # 2 + 1 + 1 dimensions
+
+
+def test_every_dimension_and_measure_is_described(spark, readings):
+    from gearwatch import config as C
+    from gearwatch.sources.catalog import metric_dictionary
+    views = [availability_view(readings), health_view(readings), oee_view(readings)]
+    rows = [r for r in metric_dictionary(spark, views).collect() if r.kind != "view"]
+    assert len(rows) == 22 and all(r.comment == C.VIEW_COMMENTS[r.view][r.name] for r in rows)
+    views[2].publish(spark, "gw_oee_told", ["equipment_id"])
+    told = {f.name: f.metadata.get("comment") for f in spark.table("gw_oee_told").schema.fields}
+    assert told == C.VIEW_COMMENTS["mv_oee"]

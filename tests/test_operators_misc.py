@@ -48,3 +48,31 @@ def test_comment_on_table(spark):
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gw_commented").collect()}
     assert props["quality"] == "bronze"
     spark.sql("DROP TABLE gw_commented")
+
+
+def test_published_layers_keep_their_comments_in_the_catalog(spark, readings):
+    from gearwatch import config as C
+    from gearwatch.operators.medallion import build_bronze
+    from gearwatch.sources.catalog import catalog_dictionary, publish_layers, publish_table
+    bronze = build_bronze(readings).limit(5)
+    names = publish_layers(spark, {"bronze": bronze, "gold": bronze}, "gw_layer_")
+    told = publish_table(spark, "gw_told", bronze, "it's told", {"current_amp": "평균 전류 (A)"})
+    try:
+        rows = catalog_dictionary(spark, [*names.values(), told]).collect()
+        at = {(r["table"], r["column"]): r for r in rows}
+        assert at["gw_layer_bronze", None]["comment"] == C.LAYER_COMMENTS["bronze"]
+        assert (at["gw_layer_bronze", None]["quality"], at["gw_layer_gold", "source"]["quality"]) == ("bronze", "gold")
+        assert at["gw_told", "current_amp"]["comment"] == "평균 전류 (A)" and at["gw_told", "source"]["comment"] is None
+        assert at["gw_told", None]["comment"] == "it's told" and at["gw_told", None]["quality"] is None
+        assert len(rows) == 3 * (1 + len(bronze.columns))
+    finally:
+        for name in [*names.values(), told]:
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_functions_are_described(spark):
+    from gearwatch import config as C
+    from gearwatch.functions.health import register_sql_functions
+    for name in register_sql_functions(spark):
+        told = "".join(r[0] for r in spark.sql(f"DESCRIBE FUNCTION EXTENDED {name}").collect())
+        assert C.FUNCTION_COMMENTS[name] in told
