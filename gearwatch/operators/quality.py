@@ -10,6 +10,7 @@ partial counts per task, one final row, no shuffle of data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -80,3 +81,39 @@ def quality_report(df: DataFrame, rules=SILVER_RULES) -> DataFrame:
     wide = df.agg(*aggs)
     stacked = ", ".join(f"'{r.name}', '{r.action}', p{i}, f{i}" for i, r in enumerate(rules))
     return wide.selectExpr(f"stack({len(rules)}, {stacked}) AS (rule, action, passed, failed)")
+
+
+def failure_mask(rules) -> Column:
+    """Bit i is set where a row fails rule i; up to 63 rules."""
+    bits = [F.when(r.passes(), F.lit(0)).otherwise(F.lit(1 << i)).cast("long") for i, r in enumerate(rules)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long"))
+
+
+def marked(df: DataFrame, rules=SILVER_RULES, column: str = "failed_rules") -> DataFrame:
+    """D1 by row: every row with the bits of the rules it fails, so a warned row can be found later."""
+    return df.withColumn(column, failure_mask(rules))
+
+
+def mask_counts(rows: DataFrame, column: str = "failed_rules") -> DataFrame:
+    """(mask, rows) of a marked table: all that reports and other choices of rules need, a row per combination that occurs."""
+    return rows.groupBy(F.col(column).alias("mask")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def report_of_masks(counts: DataFrame, rules=SILVER_RULES) -> DataFrame:
+    """D3 from ``mask_counts``: (rule, action, passed, failed), without a scan of the rows."""
+    def total(bit: int, wanted: bool) -> Column:
+        fails = F.col("mask").bitwiseAND(F.lit(1 << bit)) != 0
+        return F.coalesce(F.sum(F.when(fails if wanted else ~fails, F.col("rows"))), F.lit(0)).cast("long")
+
+    lines = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"),
+                      total(i, False).alias("passed"), total(i, True).alias("failed")) for i, r in enumerate(rules)]
+    return counts.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+
+
+def passing(rows: DataFrame, names: list[str], rules=SILVER_RULES, column: str = "failed_rules") -> DataFrame:
+    """The rows of a marked table that pass the rules ``names``, whatever their action was when they were marked."""
+    unknown = set(names) - {r.name for r in rules}
+    if unknown:
+        raise KeyError(f"no such rules: {sorted(unknown)}")
+    bits = sum(1 << i for i, r in enumerate(rules) if r.name in names)
+    return rows.where(F.col(column).bitwiseAND(F.lit(bits)) == 0)

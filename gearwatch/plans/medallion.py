@@ -83,6 +83,25 @@ def q_quality_report(spark, sf_dir):
     return Q.quality_report(T.sensor_readings(spark, sf_dir))
 
 
+@register("quality_report_from_masks", covers="D1 D3", oracle=O.with_views(_report_sql()))
+def q_quality_report_from_masks(spark, sf_dir):
+    """Every reading is stored with the bits of the rules it fails; the report is made of the counts of those."""
+    path = write_snapshot(Q.marked(T.sensor_readings(spark, sf_dir)), scratch_path(spark, "marked"))
+    return Q.report_of_masks(Q.mask_counts(read_table(spark, path)))
+
+
+@register("warned_readings", covers="D1", oracle=O.with_views(f"""
+SELECT *, CAST(CASE WHEN {_keep(Q.SILVER_RULES[0].condition)} THEN 0 ELSE 1 END
+  + CASE WHEN {_keep(Q.SILVER_RULES[1].condition)} THEN 0 ELSE 2 END
+  + CASE WHEN {_keep(Q.SILVER_RULES[2].condition)} THEN 0 ELSE 4 END AS BIGINT) AS failed_rules
+FROM sensor_readings
+WHERE {_keep(Q.SILVER_RULES[0].condition)} AND {_keep(Q.SILVER_RULES[1].condition)}"""))
+def q_warned_readings(spark, sf_dir):
+    """What the drop rules leave, each row with the bits of the warn rules it fails."""
+    drops = [r.name for r in Q.SILVER_RULES if r.action == Q.DROP]
+    return Q.passing(Q.marked(T.sensor_readings(spark, sf_dir)), drops)
+
+
 @register("health_gold", covers="D6 A5 A6", oracle=O.with_views("SELECT * FROM gold", GOLD_CTE))
 def q_health_gold(spark, sf_dir):
     layers = M.build_layers(T.sensor_readings(spark, sf_dir))

@@ -76,3 +76,18 @@ def test_functions_are_described(spark):
     for name in register_sql_functions(spark):
         told = "".join(r[0] for r in spark.sql(f"DESCRIBE FUNCTION EXTENDED {name}").collect())
         assert C.FUNCTION_COMMENTS[name] in told
+
+
+def test_masks_give_the_report_and_the_rows_of_any_choice_of_rules(spark):
+    from gearwatch.operators import quality as Q
+    rows = [(None, 20.0, 1.0), (60.0, None, None), (5.0, 20.0, -1.0), (5.0, 20.0, 1.0), (5.0, 20.0, 1.0), (0.0, 300.0, 0.0)]
+    df = spark.createDataFrame(rows, "vibration_rms double, temperature_c double, pressure_bar double")
+    marked = Q.marked(df)
+    assert sorted(r["failed_rules"] for r in marked.collect()) == [0, 0, 1, 4, 7, 7]
+    report = lambda d: sorted(map(tuple, d.collect()))
+    assert report(Q.report_of_masks(Q.mask_counts(marked))) == report(Q.quality_report(df))
+    assert report(Q.report_of_masks(Q.mask_counts(marked.limit(0)))) == report(Q.quality_report(df.limit(0)))
+    names = [r.name for r in Q.SILVER_RULES]
+    assert [Q.passing(marked, names[:k]).count() for k in range(4)] == [6, 3, 3, 2]
+    kept, _ = Q.expect_or_drop(df, Q.SILVER_RULES, name="masks")
+    assert Q.passing(marked, names[:2]).drop("failed_rules").exceptAll(kept).count() == 0
