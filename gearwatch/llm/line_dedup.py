@@ -1,8 +1,8 @@
-"""Substring dedup by hashing normalised paragraphs, lines and sentences.
+"""Substring dedup by hashing normalised paragraphs and lines.
 
-A text is cut into units, each paragraph, each of its lines and each sentence of a line;
-a unit's normal form (lower case, runs of white
-space as one blank, trimmed) is hashed to 128 bits.  Digests are grouped over
+A text is cut into units, each paragraph and each of its lines; a unit's normal form (lower case, runs of white
+space as one blank, trimmed) is hashed to 128 bits.  Units of fewer than ``MIN_WORDS`` words are no passages: stock
+phrases of a few words stand in many texts that have nothing else in common, so they stay.  Digests are grouped over
 the whole corpus, whatever the kind of unit; the occurrence in the smallest document (and the first
 inside a document) stays, later ones go, with all that lies inside them.  Removed units keep their offsets in
 the original text.
@@ -14,8 +14,8 @@ is a join that Spark can split at skewed digests; removals are gathered per
 document, bounded by its own number of units.
 
 Defined cases: null text has no units, result text null and a digest of the
-empty text; blank units are none; sentences with fewer than ``min_words`` words go only with a
-line or paragraph (or as one); a unit inside a removed one still counts as an occurrence; a null
+empty text; blank units are none; lines with fewer than ``min_words`` words go only with a
+paragraph that does; whole texts of any length are read, one at a time; other columns may have any names; a unit inside a removed one still counts as an occurrence; a null
 doc_id ranks after all others; different texts under one doc_id (or under null) rank by their digest,
 rows equal in both rank equal and are treated alike; an empty table gives no rows.
 """
@@ -33,14 +33,13 @@ from pyspark.sql import functions as F
 
 from .common import keyed, text_batches, whole_numbers
 
-MIN_WORDS = 5            # of a sentence; lines and paragraphs are units from one word
-KINDS = ("paragraph", "line", "sentence")
+MIN_WORDS = 15           # of a line or paragraph
+KINDS = ("paragraph", "line")
 
 #: What ends a unit, by kind; the units and what stands between them make up the text.
 BOUNDARIES = {
     "paragraph": re.compile(r"\n\s*\n"),
     "line": re.compile(r"\n"),
-    "sentence": re.compile(r"(?<=[.!?])[ \t]+"),
 }
 
 
@@ -56,25 +55,22 @@ def pieces(text: str, kind: str, start: int, stop: int) -> Iterator[tuple[int, i
 
 
 def units(text: str, kinds: Collection[str], min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of each unit, one that holds others before them.
-
-    A sentence that is all of its line, or a line that is all of its paragraph, is one unit.
-    """
+    """(start, end, digest) of each unit, one that holds others before them; a line that is all of its paragraph is one unit."""
     def digest(normal: str) -> bytes:
         return hashlib.blake2b(normal.encode("utf-8", "replace"), digest_size=16).digest()
 
+    def long_enough(normal: str) -> bool:
+        return normal.count(" ") + 1 >= min_words
+
     for start, end, whole in pieces(text, "paragraph", 0, len(text)):
-        lines = list(pieces(text, "line", start, end))
-        if "paragraph" in kinds and (len(lines) > 1 or "line" not in kinds):
+        if not long_enough(whole):
+            continue
+        lines = list(pieces(text, "line", start, end)) if "line" in kinds else []
+        if "paragraph" in kinds and len(lines) != 1:
             yield start, end, digest(whole)
         for a, b, normal in lines:
-            if "line" in kinds:
+            if long_enough(normal):
                 yield a, b, digest(normal)
-            if "sentence" in kinds:
-                parts = list(pieces(text, "sentence", a, b))
-                for x, y, part in parts if len(parts) > 1 or "line" not in kinds else ():
-                    if part.count(" ") + 1 >= min_words:
-                        yield x, y, digest(part)
 
 
 def digests(docs: DataFrame, kinds: Collection[str], min_words: int) -> DataFrame:
@@ -100,8 +96,8 @@ def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     kinds = KINDS if kind is None else (kind,)
     text_batches(docs.sparkSession)
-    rows, _ = keyed(docs, id_col, text_col)
-    ranked = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col("_key").alias("rank"))
+    rows, _ = keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    ranked = rows.select("doc_id", "text", F.col("_key").alias("rank"))
     found = digests(ranked.select("rank", "text"), kinds, min_words)
     shared = (found.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))

@@ -76,7 +76,7 @@ def test_mixing_hits_targets(docs, empty):
 def test_line_dedup_keeps_first(spark, empty):
     line = "this line has more than five words in it"
     d = spark.createDataFrame([(2, f"{line}\nown"), (1, f"start\n{line.upper()}\nend"), (3, None), (None, line)], "doc_id long, text string")
-    got = by_id(line_dedup.dedup_units(d, kind="line").collect())
+    got = by_id(line_dedup.dedup_units(d, kind="line", min_words=5).collect())
     assert got[1]["removed"] == [] and [tuple(x) for x in got[2]["removed"]] == [(0, len(line))]
     assert got[2]["kept_text"] == "\nown" and got[3]["kept_text"] is None and got[None]["n_removed"] == len(line)
     assert line_dedup.dedup_units(empty).count() == 0
