@@ -13,8 +13,9 @@ Each level aggregates it with map-side partials to at most 4096 rows per source,
 hot source never meets in one task; later levels read the boundary buckets only.
 
 Defined cases: null text has size 0 (taken 0); a null source is a source of its
-own, last in order; null ids hash as such; rows equal in id and text share a
-hash and are taken or left together; an empty table gives no rows.
+own, last in order; null ids hash as such; rows equal in id, text and source are numbered and hashed with
+their number, so each is taken or left by itself; texts of any length are counted whole; other columns may
+have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +39,19 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source))
 
 
+def taken_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; rows equal in id, text and source are one that stands for all of them."""
+    out = mix(docs, id_col, text_col, source_col).where("copies > 0").select("doc_id", "src", "first", "copies")
+    times = written(out.groupBy("doc_id", "src", "first").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")), "mix-times")
+    # the row travels whole in one column, so no name of its own columns clashes
+    packed = docs.select(F.col(id_col).alias("id"), source_key(F.col(source_col)).alias("own"),
+                         doc_hash(F.col(id_col), F.col(text_col)).alias("h"), F.struct("*").alias("row"))
+    if times.where("rows > 1").limit(1).count():
+        packed = packed.groupBy("id", "own", "h").agg(F.min("row").alias("row"))
+    met = (packed.h == times["first"]) & (packed.own == times.src) & packed.id.eqNullSafe(times.doc_id)
+    return packed.join(times, met).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
 def doc_hash(doc_id: Column, text: Column) -> Column:
     """60 bits of md5(id, text)."""
     digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\x1f"), F.coalesce(text, F.lit(""))))
@@ -52,6 +66,28 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         doc_hash(F.col(id_col), F.col(text_col)).alias("h"))
 
 
+def told_apart(narrow: DataFrame) -> DataFrame:
+    """``narrow`` (a written table) with a hash of its own for each of its equal rows.
+
+    Equal rows are counted in each input partition and numbered on from the partitions before, so a row that
+    makes up much of a table is dealt over as many tasks as held it.  The first of them keeps its hash.
+    """
+    row = ["doc_id", "src", "size", "h", "first"]
+    if not narrow.groupBy(*row).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        return narrow
+    parts = narrow.groupBy(*row, F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*row).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    numbers = parts.withColumn("from", F.coalesce(before, F.lit(0))).select(
+        *row, F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("k"))
+    return written(numbers.withColumn("h", F.when(F.col("k") == 0, F.col("h")).otherwise(nth_hash(F.col("h"), F.col("k"))))
+                   .select(*row), "mix-numbered")
+
+
+def nth_hash(h: Column, k: Column) -> Column:
+    """60 bits of md5(h, k): the hash of the equal row number k of those that share h."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", h.cast("string"), k.cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
             most: int = MOST_REPEATS) -> DataFrame:
     """(src, source_size, target) from (src, source_size): one row per source.
@@ -105,8 +141,11 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS) -> DataFrame:
-    """(doc_id, src, size, h, source_size, target, copies, taken): how often the mix takes each document."""
-    narrow = written(sized(docs, id_col, text_col, source_col), "mix-sizes")
+    """(doc_id, src, size, h, first, source_size, target, copies, taken): how often the mix takes each row.
+
+    ``h`` is the row's hash, ``first`` that of its id and text: equal rows share it.
+    """
+    narrow = told_apart(written(sized(docs, id_col, text_col, source_col).withColumn("first", F.col("h")), "mix-sizes"))
     goal = written(targets(narrow.groupBy("src").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     # a source without words has no budget to divide
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))

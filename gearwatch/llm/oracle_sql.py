@@ -30,10 +30,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
        failed = 0 AS kept, failed FROM b"""
 
 MIX = rf"""
-WITH d AS (
-  SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
+WITH e AS (
+  SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, row_number() OVER (PARTITION BY doc_id, text, source) - 1 AS k,
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM documents),
+d AS (
+  SELECT doc_id, source, size, CASE WHEN k = 0 THEN h ELSE CAST('0x' || substr(md5(h || ':' || k), 1, 15) AS BIGINT) END AS h FROM e),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (
   SELECT *, CAST({list(WEIGHTS)}[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(WEIGHTS)}] AS DOUBLE) AS w,

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from gearwatch.llm import hyperminhash, line_dedup, suffix_dedup
+from gearwatch.llm import hyperminhash, line_dedup, mixing, suffix_dedup
 from tests.llm.test_operators import prose
 from tests.llm.test_pipeline import like, shingles
 
@@ -79,3 +79,38 @@ def test_passages_of_rows_that_share_ids(docs):
         want[x] = (x[0], len(b), bytes(c for k, c in enumerate(b) if k not in gone))
     got = suffix_dedup.remove_repeats(docs).collect()
     assert text_rows((r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in got) == text_rows(want[x] for x in rows())
+
+
+def test_mix_takes_equal_rows_one_by_one(spark, tmp_path):
+    text = "four words of text"
+    odd = [(2**53 + 1, "lone row of words", "a"), (None, None, "a"), (None, None, "a"), (3, "", None)]
+    table = [(1, text, "s")] * 20 + [(2, "two words", "s")] + [(1, text, "other")] * 3 + odd
+    schema = "doc_id long, text string, source string, h long, src string, n long, first long, row string"
+    docs = spark.createDataFrame([(*x, 7, "x", 7, 7, "x") for x in table], schema).repartition(3)
+    got = mixing.mix(docs).collect()
+    assert sorted((repr(r["doc_id"]), r["src"]) for r in got) == sorted((repr(i), f"1{s}" if s else "0") for i, _, s in table)
+    assert len({(r["h"], r["src"], r["doc_id"]) for r in got}) == len(table)
+    for src in {r["src"] for r in got}:
+        own = [r for r in got if r["src"] == src]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 4 and all(r["taken"] <= 2 * r["size"] for r in own)
+    again = mixing.mix(docs.repartition(5)).collect()
+    assert text_rows(map(tuple, got)) == text_rows(map(tuple, again))
+    rows = mixing.taken_rows(docs)
+    assert rows.columns == docs.columns
+    want = sum(([(r["doc_id"], r["src"][1:] or None)] * r["copies"] for r in got), [])
+    assert text_rows((r["doc_id"], r["source"]) for r in rows.collect()) == text_rows(want)
+    assert mixing.taken_rows(docs.limit(0)).count() == 0
+
+
+def test_mix_of_equal_rows_equals_its_sql(spark, tmp_path):
+    import duckdb
+    from gearwatch.llm.oracle_sql import ORACLES
+    from tests.llm.small import documents, folder, run
+    r = random.Random(9)
+    table = [(i, prose(r, r.randint(0, 30)), None, r.choice(["a", "b", None])) for i in range(40)]
+    table += [table[k] for k in (0, 0, 0, 5, 7, 7)] + [(None, None, None, "a")] * 3
+    path = folder(spark, tmp_path, documents=documents(table))
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+    want = duckdb.sql(ORACLES["op10_mix_sources"])
+    got = run(spark, "op10_mix_sources", path).select(*want.columns).collect()
+    assert text_rows(map(tuple, got)) == text_rows(want.fetchall())
