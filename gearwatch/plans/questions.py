@@ -140,7 +140,8 @@ def q11(spark, sf_dir):
     equip = T.equipment_master(spark, sf_dir).select("equipment_id", "operating_hours")
     out = equip.join(rate, "equipment_id").withColumn(
         "anomaly_rate_per_1000h",
-        F.round(F.col("anomaly_rate_pct") * F.lit(1000.0) / F.col("operating_hours"), 4))
+        # a machine that has not run yet has no rate
+        F.round(F.try_divide(F.col("anomaly_rate_pct") * F.lit(1000.0), F.col("operating_hours")), 4))
     return out.orderBy(F.desc("anomaly_rate_per_1000h"), "equipment_id")
 
 
