@@ -4,17 +4,18 @@ Patterns find assignments, access keys and hexadecimal runs.  Beyond them,
 every long run of token characters is scored by two first-order character
 Markov models, one of random strings and one of ordinary identifiers: the
 log-likelihood ratio decides.  The models are transition counts over labelled
-samples: ordinary ones are identifiers in camel, snake, constant, kebab and path form, made of neighbouring words of a
-hash-chosen set of documents, numbers, dates and UUIDs; random ones are Base64 text and alphanumeric runs of digests.
-A quarter of the samples is held out of the counts; the threshold is the mean ratio that all but a thousandth of
-the held-out ordinary samples stay below, though never below zero.
+strings: ordinary ones are identifiers in camel, snake, constant, kebab and path form, made of the neighbouring words of
+all documents, numbers, dates and UUIDs; random ones are Base64 text and alphanumeric runs of digests.
+Identifiers from more than ``NAME_DOCS`` documents weigh as much as those of so many, so that generated strings keep their share.
+A quarter of the strings is held out of the counts; the threshold is the mean ratio that all but a thousandth of
+the held-out ordinary ones stay below, though never below zero.
 
 All work on texts is DataFrame functions inside the row: positions come from
 the lengths of a split's gaps and matches.  One pass over the texts writes the
-spans and candidates; training and scoring read that narrow table.  The
-driver holds one table of transition weights, fixed by the alphabet.
+spans and candidates, which are scored.  Training reads the texts twice, for the counts and for the threshold; identifiers are
+counted as they are made and never stored.  The driver holds one table of transition weights, fixed by the alphabet.
 
-Defined cases: null text is empty and has no spans; without words in the chosen documents the ordinary samples are
+Defined cases: null text is empty and has no spans; without words in any document the ordinary strings are
 numbers, dates and UUIDs; repeated rows give equal rows; a run with fewer than ``MIN_DISTINCT`` different
 characters (a rule, a row of signs) is no candidate; spans of very long texts are found over the
 whole text; other columns may have any names; an empty table gives no rows.
@@ -40,9 +41,10 @@ MIN_CANDIDATE = 16       # characters
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{MIN_CANDIDATE},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_DISTINCT = 8
+CODES = 2 ** 21          # more than there are code points
 WORD = r"[A-Za-z]{2,12}"
 WORDS_A_NAME = 3         # neighbouring words that make an identifier
-TRAIN_DOCS = 4000        # documents, about, whose words make the ordinary samples
+NAME_DOCS = 4000         # documents, about, as whose the identifiers of all documents weigh
 RANDOM_SAMPLES = 8000    # generated random strings
 NUMBER_SAMPLES = 2000    # numbers, dates and UUIDs each
 HELD_OUT = 4             # one sample of so many is held out, for the threshold
@@ -93,13 +95,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         ).alias("candidates"))
 
 
-def train(samples: DataFrame) -> list[float]:
-    """Log-likelihood ratio of each transition from (value, random): a table of |alphabet|^2 numbers."""
-    pairs = samples.select("random", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("value") - 1), lambda i: F.substring(F.col("value"), i, F.lit(2)))).alias("pair"))
-    counts = (pairs.where(F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$"))
-              .groupBy("random", "pair").agg(F.count(F.lit(1)).alias("n")).collect())  # at most 2 * |alphabet|^2 rows
-    n = {(r["random"], r["pair"]): r["n"] for r in counts}
+def train(samples: DataFrame, part: int = 1) -> list[float]:
+    """Log-likelihood ratio of each transition from (value, kind): a table of |alphabet|^2 numbers; ``part`` names weigh as one string."""
+    def code(at: Column) -> Column:
+        return F.ascii(F.substring(F.col("value"), at, F.lit(1))).cast("long")
+
+    # a pair and its kind are one number, which is grouped faster than strings
+    kinds = F.when(F.col("kind") == "name", 0).when(F.col("kind") == "random", 1).otherwise(2).cast("long")
+    each = samples.select(kinds.alias("kind"), "value", F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("i"))
+    pairs = each.select(((F.col("kind") * CODES + code(F.col("i"))) * CODES + code(F.col("i") + 1)).alias("pair"))
+    counts = pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3 * |alphabet|^2 rows
+    n = {}
+    for r in counts:
+        kind, first, second = r["pair"] // CODES ** 2, r["pair"] // CODES % CODES, r["pair"] % CODES
+        key = (kind == 1, chr(first) + chr(second))
+        n[key] = n.get(key, 0) + (r["n"] / part if kind == 0 else r["n"])
     weights = []
     for a in ALPHABET:
         total = {k: sum(n.get((k, a + b), 0) for b in ALPHABET) + SMOOTHING * len(ALPHABET) for k in (True, False)}
@@ -127,49 +137,57 @@ def codes_of(value: Column) -> Column:
 
 
 def random_samples(spark: SparkSession) -> DataFrame:
-    """(value, random): Base64 text and alphanumeric, upper-case or lower-case runs of digests, of 16 to 43 characters."""
+    """(value, kind): Base64 text and alphanumeric, upper-case or lower-case runs of digests, of 16 to 43 characters."""
     base = F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256)))
     alnum = F.translate(base, "+/=", "")
     form = F.element_at(F.array(F.translate(base, "=", ""), alnum, alnum, F.upper(alnum), F.lower(alnum)), (F.col("id") % 5 + 1).cast("int"))
-    return spark.range(RANDOM_SAMPLES).select(F.substring(form, F.lit(1), (16 + F.col("id") % 28).cast("int")).alias("value"), F.lit(True).alias("random"))
+    return spark.range(RANDOM_SAMPLES).select(F.substring(form, F.lit(1), (16 + F.col("id") % 28).cast("int")).alias("value"), F.lit("random").alias("kind"))
 
 
-def ordinary_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(value, random): identifiers of neighbouring words of the texts in the forms of programs and paths, numbers, dates and UUIDs."""
+def names(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(value, kind): an identifier of each word of the texts and its next ones, in the forms of programs and paths."""
     w = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0))
-    names = F.transform("w", lambda x, i: F.slice("w", i + 1, WORDS_A_NAME))
-    titles = lambda n: F.array_join(F.transform(n, F.initcap), "")
-
-    def forms(n: Column) -> Column:
-        camel = titles(n)
-        return F.array(F.array_join(n, "_"), F.upper(F.array_join(n, "_")), F.array_join(n, "-"), F.array_join(n, "/"), camel,
-                       F.concat(F.lower(F.substring(camel, 1, 1)), F.substring(camel, 2, 1000)), F.concat(F.array_join(n, "/"), F.lit("/"), camel))
-
-    # a name in one form each, by its place
-    made = F.transform(names, lambda n, i: F.element_at(forms(n), F.pmod(i, F.lit(7)) + 1))
-    spelled = docs.select(w.alias("w")).where(F.size("w") > 0).select(F.explode(made).alias("value"))
+    each = docs.select(w.alias("w")).where(F.size("w") > 0).select("w", F.posexplode("w").alias("i", "first"))
+    parts = [F.col("first"), *[F.get("w", F.col("i") + k) for k in range(1, WORDS_A_NAME)]]  # null past the end
+    titles = F.concat_ws("", *[F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1000)) for p in parts])
+    snake, path = F.concat_ws("_", *parts), F.concat_ws("/", *parts)
+    forms = [snake, F.upper(snake), F.concat_ws("-", *parts), path, titles,
+             F.concat(F.lower(F.substring(titles, 1, 1)), F.substring(titles, 2, 1000)), F.concat(path, F.lit("/"), titles)]
+    value = forms[-1]
+    for k, form in reversed(list(enumerate(forms[:-1]))):  # a name in one form, by its place; the others are not made
+        value = F.when(F.col("i") % len(forms) == k, form).otherwise(value)
+    # exploded, so that filters on the value do not make it anew
+    return each.select(F.explode(F.array(value)).alias("value"), F.lit("name").alias("kind"))
+
+
+def number_samples(spark: SparkSession) -> DataFrame:
+    """(value, kind): numbers, dates and UUIDs."""
     digest = F.md5(F.concat(F.lit("n"), F.col("id").cast("string")))
     uuid = F.regexp_replace(digest, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     number = F.substring(F.translate(F.sha2(F.col("id").cast("string"), 512), "abcdef", ""), 1, 24)
     day = F.date_format(F.timestamp_seconds(F.col("id") * 7654321 % 2000000000), "yyyy-MM-dd-HH-mm-ss")
-    counted = docs.sparkSession.range(NUMBER_SAMPLES).select(F.explode(F.array(uuid, F.upper(uuid), number, day)).alias("value"))
-    return spelled.unionByName(counted).withColumn("random", F.lit(False))
+    return spark.range(NUMBER_SAMPLES).select(F.explode(F.array(uuid, F.upper(uuid), number, day)).alias("value"), F.lit("number").alias("kind"))
 
 
-def samples_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(value, random, held): labelled samples, ordinary ones from about ``TRAIN_DOCS`` documents chosen by a hash of the text."""
-    part = max(1, docs.count() // TRAIN_DOCS)
-    chosen = docs.where(F.pmod(F.xxhash64(text_col), F.lit(part)) == 0)
-    samples = random_samples(docs.sparkSession).unionByName(ordinary_samples(chosen, text_col)).where(F.length("value") >= 2)
-    return samples.withColumn("held", F.pmod(F.xxhash64("value", F.lit(1)), F.lit(HELD_OUT)) == 0)
+def split_samples(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(value, kind) of all strings: those that are counted, and those held out."""
+    spark = docs.sparkSession
+    samples = random_samples(spark).unionByName(number_samples(spark)).unionByName(names(docs, text_col)).where(F.length("value") >= 2)
+    held = F.pmod(F.xxhash64("value", F.lit(1)), F.lit(HELD_OUT)) == 0
+    return samples.where(~held), samples.where(held)
 
 
 def fitted(docs: DataFrame, text_col: str = "text") -> tuple[list[float], float]:
-    """The transition weights and the threshold, chosen on held-out samples as long as a candidate may be."""
-    samples = written(samples_of(docs, text_col), "secret-samples")
-    weights = train(samples.where("not held"))
-    apart = samples.where("held and not random").where(F.length("value") >= MIN_CANDIDATE)
-    at = apart.select(F.percentile_approx(mean_llr(F.col("value"), weights), 1 - FALSE_POSITIVES, 10000)).first()[0]
+    """The transition weights and the threshold, chosen on held-out strings as long as a candidate may be."""
+    part = max(1, docs.count() // NAME_DOCS)
+    counted, held = split_samples(docs, text_col)
+    weights = train(counted, part)
+    apart = held.where("kind <> 'random'").where(F.length("value") >= MIN_CANDIDATE)
+    ratios = apart.select("kind", mean_llr(F.col("value"), weights).alias("ratio"))
+    # a number counts as often as `part` names, as it does in the weights
+    times = F.when(F.col("kind") == "number", F.array_repeat("ratio", part)).otherwise(F.array("ratio"))
+    at = ratios.select(F.explode(times).alias("ratio")).select(
+        F.percentile_approx("ratio", 1 - FALSE_POSITIVES, 10000)).first()[0]
     return weights, max(0.0, at or 0.0)
 
 

@@ -74,3 +74,20 @@ def test_redact_with_clashing_columns(spark):
     got = secret_scan.redact(d)
     assert got.columns == d.columns
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(1, "[SECRET]", 7, "x", "x", 7, "x", "x"), (None, None, 7, "x", "x", 7, "x", "x")]))
+
+
+def test_all_documents_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "NAME_DOCS", 4)
+    seen = []
+    real = secret_scan.train
+    monkeypatch.setattr(secret_scan, "train", lambda rows, part: seen.append((rows, part)) or real(rows, part))
+    r = random.Random(5)
+    docs = spark.createDataFrame([(prose(r, 30),) for _ in range(40)] + [(None,)], "text string")
+    secret_scan.fitted(docs)
+    (rows, part), = seen
+    assert part == 10
+    # a name per word of every document, about three quarters of them counted
+    made = secret_scan.names(docs)
+    assert made.count() == sum(len(re.findall("[A-Za-z]{2,12}", t or "")) for t, in docs.collect())
+    counted = rows.where("kind = 'name'").count()
+    assert 0.6 * made.count() < counted < 0.9 * made.count()
