@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..registry import register
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import tables as T
 from ..sources.sinks import read_table
 from ..streaming import twins as S
@@ -40,7 +40,8 @@ def q_stream_gold_late_rows(spark, sf_dir):
     readings = T.sensor_readings(spark, sf_dir).select(*T.READING_COLUMNS)
     late = F.pmod(F.crc32(F.concat_ws("|", "equipment_id", "timestamp").cast("binary")), F.lit(10)) == 0
     landing = S.land_daily(spark, readings.where(~late), base)
-    readings.where(late).write.mode("append").parquet(landing)
+    last = materialize(readings.where(late), "late-readings")
+    S.land(last, last.count(), landing)
     silver = S.stream_silver(spark, landing, f"{base}/silver")
     gold = S.stream_health_gold(spark, landing, f"{base}/gold")
     S.merge_late_days(spark, silver, gold)

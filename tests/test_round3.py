@@ -24,3 +24,16 @@ def test_anomaly_rate_of_a_machine_without_hours(spark, monkeypatch):
     got = [(r.equipment_id, r.anomaly_rate_pct, r.anomaly_rate_per_1000h)
            for r in __spark_entry__.queries()["question_anomaly_per_1000h"](spark, "unused").collect()]
     assert got == [("E2", 50.0, 100.0), ("E1", 100.0, None)]
+
+
+def test_a_day_lands_in_few_files(spark, readings, monkeypatch):
+    def files(landing):
+        return [f for f in os.listdir(landing.removeprefix("file:")) if f.endswith(".parquet")]
+
+    dealt = readings.repartition(8)
+    days = readings.select(F.to_date("timestamp")).distinct().count()
+    landing = S.land_daily(spark, dealt, scratch_path(spark, "t_land"))
+    assert len(files(landing)) == days
+    assert spark.read.parquet(landing).exceptAll(readings).count() == 0 and spark.read.parquet(landing).count() == readings.count()
+    monkeypatch.setattr(S, "ROWS_A_FILE", 40)
+    assert len(files(S.land_daily(spark, dealt, scratch_path(spark, "t_land")))) > days
