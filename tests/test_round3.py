@@ -37,3 +37,10 @@ def test_a_day_lands_in_few_files(spark, readings, monkeypatch):
     assert spark.read.parquet(landing).exceptAll(readings).count() == 0 and spark.read.parquet(landing).count() == readings.count()
     monkeypatch.setattr(S, "ROWS_A_FILE", 40)
     assert len(files(S.land_daily(spark, dealt, scratch_path(spark, "t_land")))) > days
+
+
+def test_training_rows_lie_in_even_parts(spark, monkeypatch):
+    data = spark.range(1000).repartition(1).withColumn("is_test", F.col("id") % 5 == 0)
+    monkeypatch.setattr(ML, "LEAST_ROWS", 100)
+    sizes = ML.training_rows(data).rdd.glom().map(len).collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 800 and max(sizes) < 1.1 * min(sizes)
