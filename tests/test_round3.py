@@ -44,3 +44,15 @@ def test_training_rows_lie_in_even_parts(spark, monkeypatch):
     monkeypatch.setattr(ML, "LEAST_ROWS", 100)
     sizes = ML.training_rows(data).rdd.glom().map(len).collect()
     assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 800 and max(sizes) < 1.1 * min(sizes)
+
+
+def test_terms_are_counted_without_a_shuffle_of_them(spark):
+    texts = ["b a b, c", None, "", "a", "Ä ä é b b b", "12 ! 3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string").repartition(3)
+    counted = docs.select("doc_id", F.inline(X.term_counts(X.tokens("content"))))
+    assert "Exchange hashpartitioning" not in counted._jdf.queryExecution().executedPlan().toString()
+    want = {0: Counter(b=2, a=1, c=1), 3: Counter(a=1), 4: Counter({"ä": 2, "é": 1, "b": 3})}
+    assert {(r.doc_id, r.term): r.tf for r in counted.collect()} == {(i, t): n for i, c in want.items() for t, n in c.items()}
+    again = docs.unionByName(docs.where("doc_id = 0")).unionByName(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
+    got = {(r.doc_id, r.term): (r.tf, r.dl, r.df) for r in X.term_index(again).collect()}
+    assert got[0, "b"] == (4, 4, 2) and got[None, "a"] == (1, 1, 3) and got[4, "ä"] == (2, 6, 1) and len(got) == 8
