@@ -24,6 +24,7 @@ whole text; other columns may have any names; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from .common import let, written
 
 # The patterns of the base kinds.
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN_WORDS = ("passw", "secret", "token", "api")  # in lower case, every assignment holds one
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # 18 characters or more; a run that is shorter holds no other match
 HEX = r"[0-9a-f]{16,}"
 MIN_ASSIGN = 12
@@ -42,6 +44,7 @@ CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{MIN_CANDIDATE},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_DISTINCT = 8
 CODES = 2 ** 21          # more than there are code points
+PIECE = 5                # characters of a string that are counted together
 WORD = r"[A-Za-z]{2,12}"
 WORDS_A_NAME = 3         # neighbouring words that make an identifier
 NAME_DOCS = 4000         # documents, about, as whose the identifiers of all documents weigh
@@ -85,7 +88,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(
         F.col(id_col).alias("doc_id"), F.md5(F.col(text_col)).alias("digest"),
-        pattern_spans(text, ASSIGN, "assign", MIN_ASSIGN).alias("a"), pattern_spans(text, ACCESS, "access").alias("k"),
+        F.when(let(F.lower(text), lambda low: reduce(Column.__or__, [F.contains(low, F.lit(w)) for w in ASSIGN_WORDS])),
+               pattern_spans(text, ASSIGN, "assign", MIN_ASSIGN)).otherwise(F.array().cast(f"array<{SPAN}>")).alias("a"), pattern_spans(text, ACCESS, "access").alias("k"),
         pattern_spans(text, HEX, "hex").alias("h"), pattern_spans(text, CANDIDATE, "markov").alias("c"))
     return found.select(
         "doc_id", "digest", F.concat("a", "k", "h").alias("base"),
@@ -98,13 +102,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def train(samples: DataFrame, part: int = 1) -> list[float]:
     """Log-likelihood ratio of each transition from (value, kind): a table of |alphabet|^2 numbers; ``part`` names weigh as one string."""
     def code(at: Column) -> Column:
-        return F.ascii(F.substring(F.col("value"), at, F.lit(1))).cast("long")
+        return F.ascii(F.substring(F.col("piece"), at, F.lit(1))).cast("long")
 
-    # a pair and its kind are one number, which is grouped faster than strings
+    # strings are cut into short pieces that share one character, which are counted first: they repeat as pairs do and are fewer
     kinds = F.when(F.col("kind") == "name", 0).when(F.col("kind") == "random", 1).otherwise(2).cast("long")
-    each = samples.select(kinds.alias("kind"), "value", F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("i"))
-    pairs = each.select(((F.col("kind") * CODES + code(F.col("i"))) * CODES + code(F.col("i") + 1)).alias("pair"))
-    counts = pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3 * |alphabet|^2 rows
+    cuts = samples.select(kinds.alias("kind"), "value", F.explode(F.sequence(F.lit(1), F.length("value") - 1, F.lit(PIECE - 1))).alias("i"))
+    pieces = cuts.select("kind", F.substring("value", F.col("i"), F.lit(PIECE)).alias("piece")).groupBy("kind", "piece").agg(F.count(F.lit(1)).alias("n"))
+    each = pieces.select("kind", "piece", "n", F.explode(F.sequence(F.lit(1), F.length("piece") - 1)).alias("i"))
+    pairs = each.select(((F.col("kind") * CODES + code(F.col("i"))) * CODES + code(F.col("i") + 1)).alias("pair"), "n")
+    counts = pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()  # at most 3 * |alphabet|^2 rows
     n = {}
     for r in counts:
         kind, first, second = r["pair"] // CODES ** 2, r["pair"] // CODES % CODES, r["pair"] % CODES
@@ -132,8 +138,8 @@ def mean_llr(value: Column, weights: list[float]) -> Column:
 
 def codes_of(value: Column) -> Column:
     """Position of each character in the alphabet."""
-    return F.transform(F.sequence(F.lit(1), F.length(value)),
-                       lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1))) - 1)
+    places = F.lit([ALPHABET.find(chr(c)) for c in range(128)])
+    return F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.get(places, F.ascii(F.substring(value, i, F.lit(1)))))
 
 
 def random_samples(spark: SparkSession) -> DataFrame:
@@ -147,7 +153,8 @@ def random_samples(spark: SparkSession) -> DataFrame:
 def names(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(value, kind): an identifier of each word of the texts and its next ones, in the forms of programs and paths."""
     w = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0))
-    each = docs.select(w.alias("w")).where(F.size("w") > 0).select("w", F.posexplode("w").alias("i", "first"))
+    # texts without words leave after the words are placed: a filter on the array, also one that Spark infers, finds all words anew
+    each = docs.select(w.alias("w")).select("w", F.posexplode_outer("w").alias("i", "first")).where("first IS NOT NULL")
     parts = [F.col("first"), *[F.get("w", F.col("i") + k) for k in range(1, WORDS_A_NAME)]]  # null past the end
     titles = F.concat_ws("", *[F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1000)) for p in parts])
     snake, path = F.concat_ws("_", *parts), F.concat_ws("/", *parts)

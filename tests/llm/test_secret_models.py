@@ -1,6 +1,7 @@
 """The Markov models of op3 on planted tokens and identifiers, its base spans against plain Python, and its query."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -91,3 +92,21 @@ def test_all_documents_are_counted(spark, monkeypatch):
     assert made.count() == sum(len(re.findall("[A-Za-z]{2,12}", t or "")) for t, in docs.collect())
     counted = rows.where("kind = 'name'").count()
     assert 0.6 * made.count() < counted < 0.9 * made.count()
+
+
+@pytest.mark.parametrize("piece", [2, 3, secret_scan.PIECE, 64])
+def test_pieces_count_each_pair_once(spark, monkeypatch, piece):
+    monkeypatch.setattr(secret_scan, "PIECE", piece)
+    r = random.Random(3)
+    rows = [("".join(r.choice(secret_scan.ALPHABET) for _ in range(n)), kind) for n in range(2, 30) for kind in ("name", "number", "random")]
+    got = secret_scan.train(spark.createDataFrame(rows, "value string, kind string"), 4)
+    n = {}
+    for value, kind in rows:
+        for pair in zip(value, value[1:], strict=False):
+            n[kind == "random", pair] = n.get((kind == "random", pair), 0) + (0.25 if kind == "name" else 1)
+    size, want = len(secret_scan.ALPHABET), []
+    for a in secret_scan.ALPHABET:
+        total = {k: sum(n.get((k, (a, b)), 0) for b in secret_scan.ALPHABET) + secret_scan.SMOOTHING * size for k in (True, False)}
+        want += [math.log((n.get((True, (a, b)), 0) + secret_scan.SMOOTHING) / total[True])
+                 - math.log((n.get((False, (a, b)), 0) + secret_scan.SMOOTHING) / total[False]) for b in secret_scan.ALPHABET]
+    assert got == pytest.approx(want)
