@@ -76,3 +76,24 @@ def test_query_keeps_short_lines_and_other_columns(spark, tmp_path):
         kept = (text or "")[:cut[0]] + text[cut[1]:] if cut else text or ""
         assert got[i]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
         assert got[i]["n_removed_units"] == bool(cut) and got[i]["n_removed_chars"] == len(text or "") - len(kept)
+
+
+def test_passages_inside_lines(spark, tmp_path):
+    def own(k):
+        return " ".join(f"word{k}x{j}" for j in range(20))
+
+    passage = " ".join(f"Sentence {k} of the passage has seven words." for k in range(8))
+    rows = [(1, f"{own(1)}. {passage} {own(2)}.", None, None), (2, f"{own(3)}. {passage} {own(4)}.", None, None),
+            (3, f"{own(5)}. Sentence 0 of the passage has seven words. {own(6)}.", None, None),
+            (4, f"{own(7)}. {passage} {own(8)}. {passage}", None, None), (5, "No. " * 200, None, None), (6, None, None, None)]
+    got = {r["doc_id"]: r for r in run(spark, "op9_line_dedup", folder(spark, tmp_path, documents=documents(rows))).collect()}
+
+    def removed(i):
+        spans = [tuple(map(int, s.split(":"))) for s in got[i]["removed_spans"].split(",") if s]
+        return [rows[i - 1][1][a:b].strip() for a, b in spans]
+
+    assert removed(1) == [] and removed(3) == []
+    assert removed(2) == [passage] and removed(4) == [passage, passage]
+    kept = rows[1][1].replace(passage, "")
+    assert got[2]["n_removed_chars"] == len(passage) and got[2]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+    assert got[5]["n_removed_chars"] < len("No. " * 200) - 80 and got[6]["n_units"] == 0
