@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, text_batches, whole_numbers
+from .common import keyed, text_batches, whole_numbers, written
 
 MIN_WORDS = 15           # of a line or paragraph
 PASSAGE_WORDS = 30       # of a run of sentences, at least, in the query
@@ -44,8 +44,8 @@ KINDS = ("paragraph", "line")
 BOUNDARIES = {
     "paragraph": re.compile(r"\n\s*\n"),
     "line": re.compile(r"\n"),
-    "sentence": re.compile(r"(?<=[.!?])\s+|\n\s*"),
 }
+SENTENCE_END = re.compile(r"[.!?\n](?:(?<=\n)\s*|\s+)")  # one set of first characters, which is searched fast
 
 
 def pieces(text: str, kind: str, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
@@ -82,7 +82,12 @@ def passages(text: str, min_words: int | None) -> Iterator[tuple[int, int, bytes
     """(start, end, digest) of the shortest run of whole sentences from each sentence on that has ``min_words`` words, if any."""
     if min_words is None:
         return
-    each = [(a, b, normal, normal.count(" ") + 1) for a, b, normal in pieces(text, "sentence", 0, len(text))]
+    each, at = [], 0
+    ends = [(m.start() + (text[m.start()] != "\n"), m.end()) for m in SENTENCE_END.finditer(text)]
+    for end, after in [*ends, (len(text), len(text))]:
+        if own := text[at:end].lower().split():
+            each.append((at, end, " ".join(own).encode("utf-8", "replace"), len(own)))
+        at = after
     last, words = 0, 0
     for k, (start, _, _, own) in enumerate(each):
         while words < min_words and last < len(each):
@@ -90,8 +95,8 @@ def passages(text: str, min_words: int | None) -> Iterator[tuple[int, int, bytes
             last += 1
         if words < min_words:
             return
-        normal = " ".join(x[2] for x in each[k:last])
-        yield start, each[last - 1][1], hashlib.blake2b(normal.encode("utf-8", "replace"), digest_size=16, person=b"passage").digest()
+        normal = b" ".join([x[2] for x in each[k:last]])
+        yield start, each[last - 1][1], hashlib.blake2b(normal, digest_size=16, person=b"passage").digest()
         words -= own
 
 
@@ -134,6 +139,8 @@ def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows, _ = keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
     ranked = rows.select("doc_id", "text", F.col("_key").alias("rank"))
     found = digests(ranked.select("rank", "text"), kinds, min_words, passage_words)
+    if passage_words is not None:  # several times as many, so they are made once
+        found = written(found, "unit-digests")
     shared = (found.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))
     gone = (found.join(shared, ["d1", "d2"]).where("rank > first")
